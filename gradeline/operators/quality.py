@@ -188,6 +188,14 @@ def assert_no_critical(df: DataFrame, id_column: str = "CUSTOMER_ID") -> None:
         raise CriticalDataError(f"{n} rows have no {id_column}")
 
 
+def emptiness(df: DataFrame, name: str) -> DataFrame:
+    """Whether the table is empty, as one row; the scan stops at the first row found."""
+    return df.limit(1).agg(
+        F.lit(name).alias("input"),
+        (F.count("*") == 0).alias("is_empty"),
+    )
+
+
 def assert_not_empty(df: DataFrame, name: str = "table") -> None:
     """Raise when there is no row; reads one row at most."""
     if df.isEmpty():

@@ -1,7 +1,7 @@
 """Sources and sinks: CSV files and catalog tables."""
 
 from gradeline.sources.completeness import missing_sources
-from gradeline.sources.files import read_raw_csv
+from gradeline.sources.files import read_raw_csv, read_raw_csv_split
 from gradeline.sources.tables import (
     SchemaMismatchError,
     append_table,
@@ -16,6 +16,7 @@ __all__ = [
     "append_table",
     "missing_sources",
     "read_raw_csv",
+    "read_raw_csv_split",
     "read_table",
     "register_views",
     "scratch_dir",

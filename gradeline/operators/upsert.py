@@ -17,8 +17,8 @@ from gradeline.operators.quality import duplicate_keys
 
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 1000
-SALTS = 256
-_SALT = "__salt"
+ROUTES = 4096
+_ROUTE = "__route"
 
 
 class AmbiguousSourceError(ValueError):
@@ -52,7 +52,7 @@ def _broadcastable(keyed: DataFrame, keys: Sequence[str]) -> bool:
 def _hot_hashes(df: DataFrame, key_hash: Column) -> list[int]:
     """Hashes of the most frequent keys, at most ``HOT_KEYS`` of them, from one sketch.
 
-    Which keys are found only decides how rows are spread, never what is returned.
+    Which keys are found only decides how rows are routed, never what is returned.
     """
     sketch = df.select(key_hash.alias("h")).agg(
         F.expr(f"approx_top_k(h, {HOT_KEYS}, {10 * HOT_KEYS})").alias("top")
@@ -60,35 +60,40 @@ def _hot_hashes(df: DataFrame, key_hash: Column) -> list[int]:
     return [item["item"] for item in sketch.first()["top"] or []]
 
 
-def without_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not among the keys of ``keyed``.
+def without_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is not in ``source_keys``, which holds full keys only.
 
     Keys of a measured small size are broadcast and the target is not shuffled. Beyond
-    that both sides are shuffled on the key plus a salt: target rows without a full key
-    and target rows of hot keys are spread over all salts, and only the hot source keys
-    are repeated per salt.
+    that both sides are shuffled on the key.
     """
-    source_keys = keyed.select(*keys)
     if _broadcastable(source_keys, keys):
-        return target.join(F.broadcast(source_keys.distinct()), list(keys), "left_anti").select(
-            *target.columns
-        )
-    return _salted_anti_join(target, source_keys, keys)
+        return _broadcast_anti_join(target, source_keys, keys)
+    return _shuffled_anti_join(target, source_keys, keys)
 
 
-def _salted_anti_join(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _broadcast_anti_join(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    small = F.broadcast(source_keys.distinct())
+    return target.join(small, list(keys), "left_anti").select(*target.columns)
+
+
+def _shuffled_anti_join(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Anti join on key and route, with hot keys settled before the shuffle.
+
+    The at most ``HOT_KEYS`` hot keys that the source holds are removed from the target by
+    a broadcast. The hot rows left over match nothing, like those without a full key, so
+    they are routed evenly instead of by key. The partition id in their route spreads
+    identical rows, and a repeated task computes the same routes.
+    """
     key_hash = F.xxhash64(*keys)
     hot = _hot_hashes(target.filter(_has_key(keys)), key_hash)
     is_hot = key_hash.isin(*hot) if hot else F.lit(False)
-    spread_salt = F.pmod(F.xxhash64(*target.columns), F.lit(SALTS)).cast("int")
-    left = target.withColumn(
-        _SALT, F.when(~_has_key(keys) | is_hot, spread_salt).otherwise(F.lit(0))
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    right = source_keys.distinct().withColumn(
-        _SALT, F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
-    )
-    return left.join(right, [*keys, _SALT], "left_anti").select(*target.columns)
+    if hot:
+        target = _broadcast_anti_join(target, source_keys.filter(is_hot), keys)
+    by_key = F.pmod(key_hash, F.lit(ROUTES))
+    evenly = F.pmod(F.xxhash64(*target.columns) + F.spark_partition_id(), F.lit(ROUTES))
+    left = target.withColumn(_ROUTE, F.when(~_has_key(keys) | is_hot, evenly).otherwise(by_key))
+    right = source_keys.filter(~is_hot).distinct().withColumn(_ROUTE, by_key)
+    return left.join(right, [*keys, _ROUTE], "left_anti").select(*target.columns)
 
 
 def upsert(
@@ -107,7 +112,7 @@ def upsert(
         source = latest_per_key(source, keys, order_by)
     elif not duplicate_keys(keyed, keys).isEmpty():
         raise AmbiguousSourceError(f"the source holds several rows for one key of {list(keys)}")
-    return without_keys(target, keyed, keys).unionByName(source)
+    return without_keys(target, keyed.select(*keys), keys).unionByName(source)
 
 
 def merge_statement(target: str, source: str, keys: Sequence[str]) -> str:

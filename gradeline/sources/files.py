@@ -53,6 +53,7 @@ def read_raw_csv_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("at"),
             quotes.alias("quotes"),
+            F.endswith("value", F.lit("\r")).alias("ends_in_cr"),
         )
         .withColumns(
             {
@@ -65,7 +66,7 @@ def read_raw_csv_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
     starts = F.when((F.col("local") + F.col("inside")) % 2 == 0, F.col("line"))
     pieces = (
         joined.withColumn("record", F.max(starts).over(in_split))
-        .groupBy(*split_key, "record", "open_block", "open_record")
+        .groupBy(*split_key, "record", "open_block", "open_record", "crlf")
         .agg(_joined_in_order("line", "value").alias("text"))
     )
 
@@ -74,19 +75,16 @@ def read_raw_csv_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .groupBy("file", F.col("open_block").alias("head_block"), F.col("open_record").alias("head_record"))
         .agg(_joined_in_order("block", "text").alias("tail"))
     )
-    heads = pieces.filter(F.col("record").isNotNull()).select(*split_key, "record", "text")
+    heads = pieces.filter(F.col("record").isNotNull())
+    whole = F.when(
+        F.col("record") == F.col("head_record"), F.concat_ws("\n", "text", "tail")
+    ).otherwise(F.col("text"))
     records = heads.join(
         continued.withColumnRenamed("head_block", "block"), split_key, "left"
     ).select(
         *split_key,
         "record",
-        F.regexp_replace(
-            F.when(
-                F.col("record") == F.col("head_record"), F.concat_ws("\n", "text", "tail")
-            ).otherwise(F.col("text")),
-            r"\r\z",
-            "",
-        ).alias("text"),
+        F.when(F.col("crlf"), F.regexp_replace(whole, r"\r(\n|\z)", "$1")).otherwise(whole).alias("text"),
     )
     is_header = (F.col("block") == 0) & (F.col("record") == 1)
     checked = F.when(F.col("text").rlike(_RECORD_PATTERN), F.col("text")).otherwise(
@@ -111,11 +109,13 @@ def _split_states(lines: DataFrame, split_key: list[str]) -> DataFrame:
     """Per split: does it start inside a quoted field, and which record is open then?
 
     Records start at lines with an even quote count before them. Within a split that is
-    known up to the state it starts in, so the last start is kept for both states.
+    known up to the state it starts in, so the last start is kept for both states. The
+    first line of a file tells whether its lines end in CR LF.
     """
     earlier = (
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
+    first_line = (F.col("block") == 0) & (F.col("line") == 1)
     last_start = F.when(F.col("inside") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
     return (
         lines.groupBy(*split_key)
@@ -123,6 +123,7 @@ def _split_states(lines: DataFrame, split_key: list[str]) -> DataFrame:
             F.sum("quotes").alias("quotes"),
             F.max(F.when(F.col("local") == 0, F.col("line"))).alias("last_even"),
             F.max(F.when(F.col("local") == 1, F.col("line"))).alias("last_odd"),
+            F.max(F.when(first_line, F.col("ends_in_cr"))).alias("ends_in_cr"),
         )
         .withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
         .withColumn("last_start", last_start)
@@ -133,5 +134,6 @@ def _split_states(lines: DataFrame, split_key: list[str]) -> DataFrame:
             .over(earlier)
             .alias("open_block"),
             F.last("last_start", True).over(earlier).alias("open_record"),
+            F.max("ends_in_cr").over(Window.partitionBy("file")).alias("crlf"),
         )
     )

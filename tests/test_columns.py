@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from gradeline.operators.cleaning import CleaningSpec, clean_silver
+from gradeline.operators.columns import (
+    ColumnError,
+    add_audit,
+    normalize_columns,
+    present,
+    require_columns,
+)
+from gradeline.sources import missing_sources
+
+
+def test_names_are_normalised(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], ["Customer ID", "Payment-Behaviour", "_source_file", " x "])
+    assert normalize_columns(df).columns == ["CUSTOMER_ID", "PAYMENT_BEHAVIOUR", "_SOURCE_FILE", "X"]
+
+
+def test_clashing_names_raise(spark):
+    with pytest.raises(ColumnError, match="A_B"):
+        normalize_columns(spark.createDataFrame([(1, 2)], ["a b", "a-b"]))
+
+
+def test_audit_columns(spark):
+    row = add_audit(spark.createDataFrame([(1,)], ["x"]), "train.csv", "somewhere").first()
+    assert row["_source_file"] == "train.csv"
+    assert row["_source_system"] == "somewhere"
+    assert row["_ingestion_timestamp"] is not None
+
+
+def test_audit_file_from_metadata(spark, tmp_path):
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.csv").write_text("a\n1\n")
+    raw = spark.read.option("header", True).csv(str(tmp_path))
+    files = add_audit(raw, F.col("_metadata.file_name"), "s").select("_source_file").collect()
+    assert {r[0] for r in files} == {"one.csv", "two.csv"}
+
+
+def test_present_and_required(spark):
+    df = spark.createDataFrame([(1, 2)], ["Age", "ID"])
+    assert present(df, ["AGE", "NAME", "id"]) == ["AGE", "id"]
+    require_columns(df, ["age"])
+    with pytest.raises(ColumnError, match="NAME"):
+        require_columns(df, ["AGE", "NAME"])
+
+
+def test_rules_skip_absent_columns(spark):
+    spec = CleaningSpec(integers=["AGE", "GONE"], texts=["NAME"], ranges={"AGE": (14, 100), "GONE": (0, 1)})
+    df = spark.createDataFrame([("7", "x_y", "k"), ("20_", "NA", "l")], ["AGE", "NAME", "KEY"])
+    cleaned = {tuple(row) for row in clean_silver(df, spec).collect()}
+    assert cleaned == {(None, "X Y", "k"), (20, None, "l")}
+
+
+def test_missing_sources(spark):
+    df = spark.createDataFrame([("train.csv",), ("other.csv",)], ["_SOURCE_FILE"])
+    assert [r[0] for r in missing_sources(df, ["train.csv", "test.csv"]).collect()] == ["test.csv"]
+    assert missing_sources(df, ["train.csv"]).collect() == []

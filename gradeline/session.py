@@ -13,6 +13,9 @@ RUNTIME_SETTINGS = {
     # wide table exceeds that as one fused method and would run interpreted; with the limit
     # Spark splits it into small methods instead. Narrow stages stay fused.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The checked table is partitioned by a handful of outcomes: one open file per outcome
+    # saves sorting every task's rows before the write.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 

@@ -16,8 +16,12 @@ def multi_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
 
 
 def elements(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """One row per element that is neither NULL nor blank."""
-    return df.select(F.explode(column).alias(alias)).filter(F.trim(alias) != "")
+    """One row per element that is neither NULL nor blank.
+
+    The outer form adds no size test of its own below the generator, which would parse a
+    derived list a second time; the row it makes of an empty list is blank and dropped.
+    """
+    return df.select(F.explode_outer(column).alias(alias)).filter(F.trim(alias) != "")
 
 
 def element_frequency(df: DataFrame, column: str, alias: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Upsert by business key, as a composition of an anti join and a union.
 
+``upsert`` gives the merged rows, ``upsert_table`` merges into a stored table.
+
 A row with a NULL in its key matches nothing: in the target it stays, in the source it
 is inserted.
 """
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeline.operators.quality import duplicate_keys
+from gradeline.sources.tables import check_schema, default_format, read_table, write_table
 
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 1000
@@ -122,3 +125,33 @@ def merge_statement(target: str, source: str, keys: Sequence[str]) -> str:
         f"MERGE INTO {target} AS target USING {source} AS source ON {condition} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )
+
+
+def upsert_table(
+    source: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    order_by: Column | None = None,
+    fmt: str | None = None,
+) -> None:
+    """Merge the source into a stored table.
+
+    A format with MERGE rewrites only the files it must. Any other table is written anew
+    beside the old one, which is then dropped and replaced: a failed job leaves the old
+    table as it was.
+    """
+    spark = source.sparkSession
+    fmt = fmt or default_format(spark)
+    check_schema(source, name)
+    if fmt == "delta":
+        if order_by is not None:
+            source = latest_per_key(source, keys, order_by)
+        view = name.replace(".", "_") + "__source"
+        source.createOrReplaceTempView(view)
+        spark.sql(merge_statement(name, view, keys))
+        return
+    staged = f"{name}__staged"
+    merged = upsert(read_table(spark, name), source, keys, order_by)
+    write_table(merged, staged, evolve_schema=True, fmt=fmt)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")

@@ -217,6 +217,7 @@ def oracle_queries() -> dict[str, str]:
             + ", ".join(f"'{loan}'" for loan in LOANS) + ") GROUP BY 1",
         "duplicate_keys": silver + "SELECT CUSTOMER_ID, MONTH, count(*) AS n FROM silver GROUP BY 1, 2 HAVING count(*) > 1",
         "upsert_by_key": upsert_sql(),
+        "upsert_into_table": upsert_sql(),
         "silver_customers": silver + f"SELECT {plain_derived}, array_to_string(LOAN_TYPES, '|') AS LOAN_TYPES, 'train.csv' AS _SOURCE_FILE, 'kaggle' AS _SOURCE_SYSTEM FROM silver",
         "end_to_end_run": stages("gold", keep='"Customer_ID" IS NOT NULL') + "SELECT CREDIT_SCORE, AGE_GROUP, INCOME_GROUP, count(*) AS n FROM gold GROUP BY 1, 2, 3",
     }

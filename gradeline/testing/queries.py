@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeline.functions import (
@@ -41,7 +41,7 @@ from gradeline.operators.quality import (
     split,
     value_profile,
 )
-from gradeline.operators.upsert import latest_per_key, upsert
+from gradeline.operators.upsert import latest_per_key, upsert, upsert_table
 from gradeline.plans.credit import (
     BUSINESS_KEY,
     CREDIT_SCORES,
@@ -79,6 +79,12 @@ def _scratch(spark: SparkSession) -> tuple[str, str]:
     return name, f"{scratch_dir(spark)}/{name}"
 
 
+def _scratch_database(spark: SparkSession) -> str:
+    name, folder = _scratch(spark)
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    return name
+
+
 # --- layers ----------------------------------------------------------------
 
 
@@ -378,8 +384,11 @@ def gold_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(build_gold(valid(spark, sf_dir)))
 
 
-def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open orders arrive as an update to the closed and pending ones."""
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Closed and pending orders as the stored rows, open ones as their update.
+
+    The third value orders the rows of one key: the lowest ``ID`` wins.
+    """
     orders = read_source(spark, sf_dir, "orders")
     lowest_id = -F.col("ID").cast("long")
 
@@ -387,13 +396,26 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = orders.filter(F.col("o_orderstatus").isin(*statuses))
         return build_silver(credit_raw(spark, sf_dir, part)).select(*BUSINESS_KEY, "ID")
 
-    target = latest_per_key(load(["F", "P"]), BUSINESS_KEY, lowest_id)
-    return upsert(target, load(["O"]), BUSINESS_KEY, order_by=lowest_id)
+    stored = latest_per_key(load(["F", "P"]), BUSINESS_KEY, lowest_id)
+    return stored, load(["O"]), lowest_id
+
+
+def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, update, lowest_id = _two_loads(spark, sf_dir)
+    return upsert(stored, update, BUSINESS_KEY, order_by=lowest_id)
+
+
+def upsert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _scratch_database(spark)
+    stored, update, lowest_id = _two_loads(spark, sf_dir)
+    name = f"{database}.silver_customers"
+    write_table(stored, name, evolve_schema=False)
+    upsert_table(update, name, BUSINESS_KEY, order_by=lowest_id)
+    return read_table(spark, name)
 
 
 def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name, folder = _scratch(spark)
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    name = _scratch_database(spark)
     train = credit_raw(spark, sf_dir).filter(F.col("Customer_ID").isNotNull())
     CreditRun(spark, name).run({"train.csv": train, "test.csv": train.drop("Credit_Score")})
     gold = read_table(spark, f"{name}.gold_customer_credit")
@@ -450,6 +472,7 @@ REGISTER: dict[str, Query] = {
     "unknown_loan_types": unknown_loan_types,
     "duplicate_keys": duplicates,
     "upsert_by_key": upsert_by_key,
+    "upsert_into_table": upsert_into_table,
     "silver_customers": silver_customers,
     "end_to_end_run": end_to_end_run,
 }

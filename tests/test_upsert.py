@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from gradeline.operators.upsert import (
     latest_per_key,
     merge_statement,
     upsert,
+    upsert_table,
 )
+from gradeline.sources import SchemaMismatchError, read_table, write_table
 
 SCHEMA = "k string, m string, v int"
 KEYS = ["k", "m"]
@@ -111,3 +115,18 @@ def test_merge_statement_parses(spark):
     text = merge_statement("db.t", "s", KEYS)
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
     assert "MergeIntoTable" in plan
+
+
+def test_upsert_table(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    write_table(spark.createDataFrame([("a", "x", 1), ("b", "x", 2)], SCHEMA), name, evolve_schema=False)
+    source = spark.createDataFrame([("a", "x", 10), ("c", "x", 30)], SCHEMA)
+    for _ in range(2):
+        upsert_table(source, name, KEYS)
+        assert _rows(read_table(spark, name)) == [("a", "x", 10), ("b", "x", 2), ("c", "x", 30)]
+    assert not spark.catalog.tableExists(f"{name}__staged")
+    with pytest.raises(SchemaMismatchError):
+        upsert_table(source.withColumn("w", F.lit(1)), name, KEYS)
+    with pytest.raises(AmbiguousSourceError):
+        upsert_table(source.union(source), name, KEYS)
+    assert read_table(spark, name).count() == 3

@@ -41,12 +41,21 @@ class CreditRun:
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
 
-    def ingest(self, raw: Mapping[str, DataFrame]) -> None:
-        """Bronze: one table per source file, e.g. ``bronze_train`` for ``train.csv``."""
+    def ingest(self, raw: Mapping[str, DataFrame]) -> dict[str, dict[str, int]]:
+        """Bronze: one table per source file, e.g. ``bronze_train`` for ``train.csv``.
+
+        Returns the row and column count of each load, counted while it is written.
+        """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        profiles = {}
         for file_name, df in raw.items():
             name = "bronze_" + file_name.rsplit("/", 1)[-1].split(".")[0]
-            write_table(build_bronze(df, file_name), self.table(name), evolve_schema=True)
+            bronze = build_bronze(df, file_name)
+            load = Observation(f"load of {file_name}")
+            counted = bronze.observe(load, F.count("*").alias("row_count"))
+            write_table(counted, self.table(name), evolve_schema=True)
+            profiles[name] = {**load.get, "column_count": len(bronze.columns)}
+        return profiles
 
     def refine(self, bronze: str = "bronze_train") -> None:
         """Silver: names, types, cleaning, derived columns."""
@@ -90,8 +99,9 @@ class CreditRun:
     def _outcome_view(self, name: str, columns: list[str], outcomes: tuple[str, ...]) -> None:
         """A view over whole partitions of the checked table."""
         listed = ", ".join(f"'{outcome}'" for outcome in outcomes)
+        quoted = ", ".join(f"`{column}`" for column in columns)
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.table(name)} AS SELECT {', '.join(columns)} "
+            f"CREATE OR REPLACE VIEW {self.table(name)} AS SELECT {quoted} "
             f"FROM {self.table('checked_customers')} WHERE {STATUS_COLUMN} IN ({listed})"
         )
 

@@ -25,6 +25,8 @@ def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool =
 # A record of RFC 4180, where quotes appear only around fields and doubled inside.
 _FIELD = r'(?:"(?:[^"]++|"")*+"|[^",\r\n]*+)'
 _RECORD_PATTERN = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+# Fixed value: no JVM string holds more, so no reader could return a longer record.
+MAX_RECORD_BYTES = 2**31 - 1
 
 
 def read_raw_csv_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -37,7 +39,8 @@ def read_raw_csv_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
     has to be read with ``read_raw_csv``.
 
     The lines are shuffled once, by split. What crosses splits is one row per split and
-    the text of the records that straddle one.
+    the text of the records that straddle one. A quote left open shows as a record longer
+    than any string and is refused before its text is gathered.
     """
     names = read_raw_csv(spark, path).columns
     split_key = ["file", "block"]
@@ -112,9 +115,8 @@ def _split_states(lines: DataFrame, split_key: list[str]) -> DataFrame:
     known up to the state it starts in, so the last start is kept for both states. The
     first line of a file tells whether its lines end in CR LF.
     """
-    earlier = (
-        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    in_file = Window.partitionBy("file").orderBy("block")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
     first_line = (F.col("block") == 0) & (F.col("line") == 1)
     last_start = F.when(F.col("inside") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
     return (
@@ -135,5 +137,13 @@ def _split_states(lines: DataFrame, split_key: list[str]) -> DataFrame:
             .alias("open_block"),
             F.last("last_start", True).over(earlier).alias("open_record"),
             F.max("ends_in_cr").over(Window.partitionBy("file")).alias("crlf"),
+            F.lag("last_start").over(in_file).isNull().alias("runs_through"),
+        )
+        .withColumn(
+            "inside",
+            F.when(
+                F.col("runs_through") & (F.col("block") - F.col("open_block") > MAX_RECORD_BYTES),
+                F.raise_error(F.concat(F.lit("record is not RFC 4180, quote left open in file "), "file")),
+            ).otherwise(F.col("inside")),
         )
     )

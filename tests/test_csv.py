@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from gradeline.sources import read_raw_csv, read_raw_csv_split
+from gradeline.sources import files, read_raw_csv, read_raw_csv_split
 
 PIECES = ["a", "é", '"', '""', "\n", "\r\n", ",", " ", "word", "", '",\n"', "\n\n"]
 
@@ -65,3 +65,13 @@ def test_split_read_refuses_what_it_cannot_place(spark, tmp_path, record):
     (tmp_path / "x.csv").write_text(f"id,text\n1,a\n{record}\n3,b\n")
     with pytest.raises(Exception, match="not RFC 4180"):
         read_raw_csv_split(spark, str(tmp_path)).collect()
+
+
+def test_a_quote_left_open_is_refused_before_its_text_is_gathered(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(files, "MAX_RECORD_BYTES", 5000)
+    body = "\n".join(f"{i},plain" for i in range(2000))
+    (tmp_path / "x.csv").write_text(f'id,text\n0,"open\n{body}\n')
+    with pytest.raises(Exception, match="quote left open"):
+        read_raw_csv_split(spark, str(tmp_path)).collect()
+    (tmp_path / "x.csv").write_text(f'id,text\n0,"closed"\n{body}\n')
+    assert read_raw_csv_split(spark, str(tmp_path)).count() == 2001

@@ -83,6 +83,12 @@ def test_metrics(rows):
     }
 
 
+def test_metrics_by_sketch(rows):
+    exact, sketched = (quality_metrics(rows, CREDIT_SCORES, approximate=a).first().asDict() for a in (False, True))
+    assert abs(exact.pop("distinct_customers") - sketched.pop("distinct_customers")) <= 1
+    assert exact == sketched
+
+
 def test_metrics_of_an_empty_table(rows):
     row = quality_metrics(rows.filter("false"), CREDIT_SCORES).first()
     assert row["total_rows"] == 0

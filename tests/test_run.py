@@ -75,6 +75,14 @@ def test_unknown_rows_show_where_asked(spark, raw, database):
         CreditRun(spark, database, on_unknown="keep")
 
 
+def test_ingest_reports_each_load(spark, raw, database):
+    profiles = CreditRun(spark, database).ingest({"a/train.csv": raw, "test.csv": raw.drop("Credit_Score")})
+    assert profiles == {
+        "bronze_train": {"row_count": 1500, "column_count": 31},
+        "bronze_test": {"row_count": 1500, "column_count": 30},
+    }
+
+
 def test_empty_load_stops_the_run(spark, raw, database):
     with pytest.raises(EmptyTableError):
         CreditRun(spark, database).run({"train.csv": raw.filter("false")})

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeline.operators.quality import duplicate_keys
@@ -21,6 +21,8 @@ from gradeline.sources.tables import check_schema, default_format, read_table, w
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 1000
 ROUTES = 4096
+TOUCHED_PARTITIONS = 1000
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _ROUTE = "__route"
 
 
@@ -127,6 +129,25 @@ def merge_statement(target: str, source: str, keys: Sequence[str]) -> str:
     )
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
+def _touched_partitions(source: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> Column | None:
+    """Condition for the partitions that the source can change.
+
+    None when the table is not partitioned by key columns, or the source touches more
+    partitions than are worth listing.
+    """
+    if not columns or not {c.upper() for c in columns} <= {k.upper() for k in keys}:
+        return None
+    values = source.select(*columns).distinct().limit(TOUCHED_PARTITIONS + 1).collect()
+    if not values or len(values) > TOUCHED_PARTITIONS:
+        return None
+    same = [reduce(and_, [F.col(c).eqNullSafe(row[c]) for c in columns]) for row in values]
+    return reduce(or_, same)
+
+
 def upsert_table(
     source: DataFrame,
     name: str,
@@ -136,9 +157,10 @@ def upsert_table(
 ) -> None:
     """Merge the source into a stored table.
 
-    A format with MERGE rewrites only the files it must. Any other table is written anew
-    beside the old one, which is then dropped and replaced: a failed job leaves the old
-    table as it was.
+    A format with MERGE rewrites only the files it must. A table partitioned by key
+    columns has only the partitions rewritten that the source touches. The merged rows are
+    stored beside the table first, so a failed merge leaves it as it was; an unpartitioned
+    table is then simply replaced by them.
     """
     spark = source.sparkSession
     fmt = fmt or default_format(spark)
@@ -150,8 +172,30 @@ def upsert_table(
         source.createOrReplaceTempView(view)
         spark.sql(merge_statement(name, view, keys))
         return
+    target = read_table(spark, name)
+    partitions = _partition_columns(spark, name)
+    touched = _touched_partitions(source, partitions, keys)
+    base = target if touched is None else target.filter(touched)
     staged = f"{name}__staged"
-    merged = upsert(read_table(spark, name), source, keys, order_by)
-    write_table(merged, staged, evolve_schema=True, fmt=fmt)
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    write_table(upsert(base, source, keys, order_by), staged, evolve_schema=True, fmt=fmt)
+    if not partitions:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        return
+    merged = read_table(spark, staged).select(*target.columns)
+    if touched is None:
+        write_table(merged, name, evolve_schema=False, partition_by=partitions, fmt=fmt)
+    else:
+        _overwrite_partitions(merged, name)
+    spark.sql(f"DROP TABLE {staged}")
+
+
+def _overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace the partitions that occur in ``df`` and leave the others."""
+    conf = df.sparkSession.conf
+    before = conf.get(OVERWRITE_MODE)
+    conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        df.write.insertInto(name, overwrite=True)
+    finally:
+        conf.set(OVERWRITE_MODE, before)

@@ -409,9 +409,9 @@ def upsert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _scratch_database(spark)
     stored, update, lowest_id = _two_loads(spark, sf_dir)
     name = f"{database}.silver_customers"
-    write_table(stored, name, evolve_schema=False)
+    write_table(stored, name, evolve_schema=False, partition_by=["MONTH"])
     upsert_table(update, name, BUSINESS_KEY, order_by=lowest_id)
-    return read_table(spark, name)
+    return read_table(spark, name).select(*BUSINESS_KEY, "ID")
 
 
 def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,3 +130,33 @@ def test_upsert_table(spark):
     with pytest.raises(AmbiguousSourceError):
         upsert_table(source.union(source), name, KEYS)
     assert read_table(spark, name).count() == 3
+
+
+def test_upsert_table_rewrites_only_touched_partitions(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    stored = [("a", "x", 1), ("b", "x", 2), ("c", "y", 3), ("d", None, 4), ("e", "z", 5)]
+    df = spark.createDataFrame(stored, SCHEMA)
+    write_table(df, name, evolve_schema=False, partition_by=["m"])
+
+    def files(condition):
+        rows = read_table(spark, name).filter(condition)
+        return {r[0] for r in rows.select("_metadata.file_path").distinct().collect()}
+
+    untouched, touched = files("m IN ('y', 'z')"), files("m = 'x'")
+    source = spark.createDataFrame([("a", "x", 10), ("f", None, 6), ("g", "new", 7)], SCHEMA)
+    upsert_table(source, name, KEYS)
+    want = [("a", "x", 10), ("b", "x", 2), ("c", "y", 3), ("d", None, 4), ("e", "z", 5), ("f", None, 6), ("g", "new", 7)]
+    assert _rows(read_table(spark, name).select("k", "m", "v")) == sorted(want, key=str)
+    assert files("m IN ('y', 'z')") == untouched
+    assert not files("m = 'x'") & touched
+    assert not spark.catalog.tableExists(f"{name}__staged")
+
+
+def test_upsert_table_keeps_partitioning_when_all_is_rewritten(spark, monkeypatch):
+    monkeypatch.setattr(module, "TOUCHED_PARTITIONS", 1)
+    name = f"t_{uuid.uuid4().hex}"
+    df = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], SCHEMA)
+    write_table(df, name, evolve_schema=False, partition_by=["m"])
+    upsert_table(spark.createDataFrame([("a", "x", 9), ("b", "y", 8)], SCHEMA), name, KEYS)
+    assert _rows(read_table(spark, name).select("k", "m", "v")) == [("a", "x", 9), ("b", "y", 8)]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["m"]

@@ -1,7 +1,8 @@
 """Column expressions: Column in, Column out, no actions."""
 
 from gradeline.functions.bands import age_group, band, income_group
-from gradeline.functions.lists import contains_flag, flag_name, parse_list
+from gradeline.functions.lists import contains_flag, parse_list
+from gradeline.functions.names import flag_name, normalize_name
 from gradeline.functions.scalars import (
     TEXT_SENTINELS,
     capture_int,
@@ -29,6 +30,7 @@ __all__ = [
     "flag_name",
     "income_group",
     "month_num",
+    "normalize_name",
     "null_outside",
     "parse_list",
     "to_decimal",

@@ -76,30 +76,25 @@ def partition_counts(df: DataFrame, flag: str = OVERALL_FLAG) -> DataFrame:
 # --- metrics ---------------------------------------------------------------
 
 
+def metric_counts(conditions: Mapping[str, Column], total: str = "total_rows") -> list[Column]:
+    """Row count, and the rows where each condition is true, as aggregates for one pass."""
+    return [F.count("*").alias(total), *[count_where(c).alias(name) for name, c in conditions.items()]]
+
+
 def quality_metrics(
     df: DataFrame,
-    scores: Sequence[str],
-    id_column: str = "CUSTOMER_ID",
-    age_column: str = "AGE",
-    income_column: str = "ANNUAL_INCOME",
-    score_column: str = "CREDIT_SCORE",
+    conditions: Mapping[str, Column],
+    distinct: Mapping[str, str],
     approximate: bool = False,
 ) -> DataFrame:
-    """One row of table metrics.
+    """One row of table metrics: rows, rows per condition, distinct values per column.
 
-    A NULL score is not counted as invalid. The exact distinct count pre-aggregates on
-    the id in each task before its shuffle, so a hot id costs one row per task.
-    ``approximate`` counts ids by a sketch instead, with no shuffle of ids at all.
+    A condition that is NULL is not counted. The exact distinct count pre-aggregates on the
+    value in each task before its shuffle, so a hot value costs one row per task.
+    ``approximate`` counts by a sketch instead, with no shuffle of values at all.
     """
-    distinct = F.approx_count_distinct if approximate else F.countDistinct
-    return df.agg(
-        F.count("*").alias("total_rows"),
-        distinct(id_column).alias("distinct_customers"),
-        count_where(F.col(id_column).isNull()).alias("null_customer_id"),
-        count_where(F.col(age_column).isNull()).alias("invalid_or_null_age"),
-        count_where(F.col(income_column).isNull()).alias("invalid_or_null_income"),
-        count_where(~F.col(score_column).isin(*scores)).alias("invalid_credit_score"),
-    )
+    count = F.approx_count_distinct if approximate else F.countDistinct
+    return df.agg(*metric_counts(conditions), *[count(c).alias(name) for name, c in distinct.items()])
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -169,11 +164,13 @@ def value_profile(df: DataFrame, column: str) -> DataFrame:
 
 
 def load_profile(df: DataFrame) -> DataFrame:
-    """Row and column count of a load; its schema is ``df.schema``."""
-    return df.agg(
-        F.count("*").alias("row_count"),
-        F.lit(len(df.columns)).alias("column_count"),
-    )
+    """One row per column of a load: its place, name and type, and the rows of the load."""
+    columns = [
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"))
+        for i, f in enumerate(df.schema)
+    ]
+    counted = df.agg(F.count("*").alias("row_count"))
+    return counted.select("row_count", F.inline(F.array(*columns)))
 
 
 # --- gates -----------------------------------------------------------------

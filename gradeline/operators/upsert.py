@@ -10,20 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeline.operators.quality import duplicate_keys
-from gradeline.sources.tables import check_schema, default_format, read_table, write_table
+from gradeline.sources.tables import (
+    Staged,
+    check_schema,
+    default_format,
+    read_table,
+    replace_rows,
+)
 
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
-HOT_KEYS = 1000
-ROUTES = 4096
-TOUCHED_PARTITIONS = 1000
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-_ROUTE = "__route"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+METHODS = ("broadcast", "shuffled")
 
 
 class AmbiguousSourceError(ValueError):
@@ -54,26 +57,32 @@ def _broadcastable(keyed: DataFrame, keys: Sequence[str]) -> bool:
     return (total or 0) <= BROADCAST_KEY_BYTES
 
 
-def _hot_hashes(df: DataFrame, key_hash: Column) -> list[int]:
-    """Hashes of the most frequent keys, at most ``HOT_KEYS`` of them, from one sketch.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys held by more rows than an even share of a shuffle partition, each once.
 
-    Which keys are found only decides how rows are routed, never what is returned.
+    There are fewer of them than partitions, whatever the data, so they may be broadcast; keys
+    spread evenly have none.
     """
-    sketch = df.select(key_hash.alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HOT_KEYS}, {10 * HOT_KEYS})").alias("top")
-    )
-    return [item["item"] for item in sketch.first()["top"] or []]
+    partitions = int(df.sparkSession.conf.get(SHUFFLE_PARTITIONS))
+    share = df.count() / partitions
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return counts.filter((F.col("n") > share) & (F.col("n") > 1)).select(*keys)
 
 
-def without_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_keys(
+    target: DataFrame, source_keys: DataFrame, keys: Sequence[str], method: str | None = None
+) -> DataFrame:
     """Target rows whose key is not in ``source_keys``, which holds full keys only.
 
     Keys of a measured small size are broadcast and the target is not shuffled. Beyond
-    that both sides are shuffled on the key.
+    that both sides are shuffled on the key. ``method`` asks for one of the two.
     """
-    if _broadcastable(source_keys, keys):
-        return _broadcast_anti_join(target, source_keys, keys)
-    return _shuffled_anti_join(target, source_keys, keys)
+    if method is None:
+        method = "broadcast" if _broadcastable(source_keys, keys) else "shuffled"
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    way = _broadcast_anti_join if method == "broadcast" else _shuffled_anti_join
+    return way(target, source_keys, keys)
 
 
 def _broadcast_anti_join(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,23 +91,20 @@ def _broadcast_anti_join(target: DataFrame, source_keys: DataFrame, keys: Sequen
 
 
 def _shuffled_anti_join(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Anti join on key and route, with hot keys settled before the shuffle.
+    """Anti join on the keys alone; rows without a full key and those of hot keys stay out of it.
 
-    The at most ``HOT_KEYS`` hot keys that the source holds are removed from the target by
-    a broadcast. The hot rows left over match nothing, like those without a full key, so
-    they are routed evenly instead of by key. The partition id in their route spreads
-    identical rows, and a repeated task computes the same routes.
+    Hot keys are fewer than partitions and are settled by broadcasts, so their rows, like
+    those that can match nothing, stay where they are.
     """
-    key_hash = F.xxhash64(*keys)
-    hot = _hot_hashes(target.filter(_has_key(keys)), key_hash)
-    is_hot = key_hash.isin(*hot) if hot else F.lit(False)
-    if hot:
-        target = _broadcast_anti_join(target, source_keys.filter(is_hot), keys)
-    by_key = F.pmod(key_hash, F.lit(ROUTES))
-    evenly = F.pmod(F.xxhash64(*target.columns) + F.spark_partition_id(), F.lit(ROUTES))
-    left = target.withColumn(_ROUTE, F.when(~_has_key(keys) | is_hot, evenly).otherwise(by_key))
-    right = source_keys.filter(~is_hot).distinct().withColumn(_ROUTE, by_key)
-    return left.join(right, [*keys, _ROUTE], "left_anti").select(*target.columns)
+    names = target.columns
+    keyed = target.filter(_has_key(keys))
+    hot = hot_keys(keyed, keys)
+    cold = keyed.join(F.broadcast(hot), list(keys), "left_anti")
+    kept = cold.join(source_keys.distinct(), list(keys), "left_anti")
+    hot_kept = hot.join(source_keys.distinct(), list(keys), "left_anti")
+    hot_rows = keyed.join(F.broadcast(hot_kept), list(keys), "left_semi")
+    parts = [kept, hot_rows, target.filter(~_has_key(keys))]
+    return reduce(DataFrame.unionByName, [part.select(*names) for part in parts])
 
 
 def upsert(
@@ -106,23 +112,34 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     order_by: Column | None = None,
+    method: str | None = None,
 ) -> DataFrame:
     """Replace the target rows whose key the source holds, insert the rest of the source.
 
     Several source rows on one key are an error, unless ``order_by`` says which wins: the
-    row with the greatest value. The checks on the source run when this is called.
+    row with the greatest value. Keys of different types are compared as Spark compares them,
+    in the wider type. The checks on the source run when this is called.
     """
+    source = _one_per_key(source, keys, order_by)
     keyed = source.filter(_has_key(keys))
+    return without_keys(target, keyed.select(*keys), keys, method).unionByName(source)
+
+
+def _one_per_key(source: DataFrame, keys: Sequence[str], order_by: Column | None) -> DataFrame:
     if order_by is not None:
-        source = latest_per_key(source, keys, order_by)
-    elif not duplicate_keys(keyed, keys).isEmpty():
+        return latest_per_key(source, keys, order_by)
+    if not duplicate_keys(source.filter(_has_key(keys)), keys).isEmpty():
         raise AmbiguousSourceError(f"the source holds several rows for one key of {list(keys)}")
-    return without_keys(target, keyed.select(*keys), keys).unionByName(source)
+    return source
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def merge_statement(target: str, source: str, keys: Sequence[str]) -> str:
     """The same upsert as SQL, for a table format that supports MERGE."""
-    condition = " AND ".join(f"target.{key} = source.{key}" for key in keys)
+    condition = " AND ".join(f"target.{_quoted(key)} = source.{_quoted(key)}" for key in keys)
     return (
         f"MERGE INTO {target} AS target USING {source} AS source ON {condition} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
@@ -133,19 +150,19 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
 
 
-def _touched_partitions(source: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> Column | None:
-    """Condition for the partitions that the source can change.
+def touched_partitions(source: DataFrame, columns: Sequence[str]) -> Column:
+    """A condition that holds at least in the partitions that the source has rows for.
 
-    None when the table is not partitioned by key columns, or the source touches more
-    partitions than are worth listing.
+    One list of values per column, which may take in more partitions than are touched. The
+    values are as many as the table's partitions, which its catalog lists as well.
     """
-    if not columns or not {c.upper() for c in columns} <= {k.upper() for k in keys}:
-        return None
-    values = source.select(*columns).distinct().limit(TOUCHED_PARTITIONS + 1).collect()
-    if not values or len(values) > TOUCHED_PARTITIONS:
-        return None
-    same = [reduce(and_, [F.col(c).eqNullSafe(row[c]) for c in columns]) for row in values]
-    return reduce(or_, same)
+    parts = []
+    for column in columns:
+        values = [row[0] for row in source.select(column).distinct().collect()]
+        known = [value for value in values if value is not None]
+        same = F.col(column).isin(known) if known else F.lit(False)
+        parts.append(same | F.col(column).isNull() if None in values else same)
+    return reduce(and_, parts)
 
 
 def upsert_table(
@@ -154,48 +171,32 @@ def upsert_table(
     keys: Sequence[str],
     order_by: Column | None = None,
     fmt: str | None = None,
+    method: str | None = None,
 ) -> None:
-    """Merge the source into a stored table.
+    """Merge the source into a stored table, which keeps its place, kind and properties.
 
-    A format with MERGE rewrites only the files it must. A table partitioned by key
-    columns has only the partitions rewritten that the source touches. The merged rows are
-    stored beside the table first, so a failed merge leaves it as it was; an unpartitioned
-    table is then simply replaced by them.
+    The rows to merge are computed once, into the shared folder; none leaves the table alone. A
+    format with MERGE rewrites only the files it must. A table partitioned by key columns has
+    only the partitions rewritten that the source may touch. The merged rows are stored beside
+    the table before it is overwritten, so a failing merge leaves it as it was.
     """
     spark = source.sparkSession
     fmt = fmt or default_format(spark)
     check_schema(source, name)
-    if fmt == "delta":
-        if order_by is not None:
-            source = latest_per_key(source, keys, order_by)
-        view = name.replace(".", "_") + "__source"
-        source.createOrReplaceTempView(view)
-        spark.sql(merge_statement(name, view, keys))
-        return
-    target = read_table(spark, name)
-    partitions = _partition_columns(spark, name)
-    touched = _touched_partitions(source, partitions, keys)
-    base = target if touched is None else target.filter(touched)
-    staged = f"{name}__staged"
-    write_table(upsert(base, source, keys, order_by), staged, evolve_schema=True, fmt=fmt)
-    if not partitions:
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-        return
-    merged = read_table(spark, staged).select(*target.columns)
-    if touched is None:
-        write_table(merged, name, evolve_schema=False, partition_by=partitions, fmt=fmt)
-    else:
-        _overwrite_partitions(merged, name)
-    spark.sql(f"DROP TABLE {staged}")
-
-
-def _overwrite_partitions(df: DataFrame, name: str) -> None:
-    """Replace the partitions that occur in ``df`` and leave the others."""
-    conf = df.sparkSession.conf
-    before = conf.get(OVERWRITE_MODE)
-    conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        df.write.insertInto(name, overwrite=True)
-    finally:
-        conf.set(OVERWRITE_MODE, before)
+    with Staged(_one_per_key(source, keys, order_by)) as update:
+        if update.isEmpty():
+            return
+        if fmt == "delta":
+            view = name.replace(".", "_") + "__source"
+            update.createOrReplaceTempView(view)
+            spark.sql(merge_statement(name, view, keys))
+            spark.catalog.dropTempView(view)
+            return
+        target = read_table(spark, name)
+        partitions = _partition_columns(spark, name)
+        by_partition = bool(partitions) and {c.upper() for c in partitions} <= {k.upper() for k in keys}
+        base = target.filter(touched_partitions(update, partitions)) if by_partition else target
+        keyed = update.filter(_has_key(keys)).select(*keys)
+        merged = without_keys(base, keyed, keys, method).unionByName(update)
+        with Staged(merged) as rows:
+            replace_rows(rows, name, only_partitions=by_partition)

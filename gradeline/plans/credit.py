@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gradeline.functions import flag_name
 from gradeline.operators.cleaning import CleaningSpec
 
+# Where the rows come from, their key, and the columns the checks need.
 SOURCE_SYSTEM = "kaggle"
 EXPECTED_FILES = ("train.csv", "test.csv")
 BUSINESS_KEY = ("CUSTOMER_ID", "MONTH")
@@ -60,8 +61,22 @@ GOLD_COLUMNS = (
 )
 
 
+# The distinct counts among the metrics, by name.
+DISTINCT_METRICS = {"distinct_customers": "CUSTOMER_ID"}
+
+
+def metric_conditions() -> dict[str, Column]:
+    """What the table metrics count, by name. A NULL score is not invalid."""
+    return {
+        "null_customer_id": F.col("CUSTOMER_ID").isNull(),
+        "invalid_or_null_age": F.col("AGE").isNull(),
+        "invalid_or_null_income": F.col("ANNUAL_INCOME").isNull(),
+        "invalid_credit_score": ~F.col("CREDIT_SCORE").isin(*CREDIT_SCORES),
+    }
+
+
 def credit_rules() -> dict[str, Column]:
-    """The row rules, by the name of the column that holds the outcome."""
+    """The row rules, by the name of the column that holds the outcome."""
     return {
         "dq_customer_id_valid": F.col("CUSTOMER_ID").isNotNull(),
         "dq_age_valid": F.col("AGE").between(*CREDIT_SPEC.ranges["AGE"]),

@@ -11,12 +11,11 @@ from gradeline.operators.quality import (
     OVERALL_FLAG,
     STATUS_COLUMN,
     CriticalDataError,
-    assert_not_empty,
-    count_where,
-    quality_metrics,
+    EmptyTableError,
+    metric_counts,
     status,
 )
-from gradeline.plans.credit import CREDIT_SCORES
+from gradeline.plans.credit import DISTINCT_METRICS, metric_conditions
 from gradeline.plans.layers import build_bronze, build_checked, build_gold, build_silver
 from gradeline.sources.tables import append_table, read_table, write_table
 
@@ -27,7 +26,8 @@ REJECTED_STATUS = {"drop": ("rejected",), "reject": ("rejected", "unknown")}
 class CreditRun:
     """The four stages over the tables of one database.
 
-    Each stage scans its input once and writes once. ``on_unknown`` says whether rows
+    Each stage scans its input once and writes once, but that the check reads the ids a second
+    time to count the different ones. ``on_unknown`` says whether rows
     whose rules are undecided show among the rejected; they are stored in either case.
     """
 
@@ -63,25 +63,19 @@ class CreditRun:
         write_table(silver, self.table("silver_customers"), evolve_schema=True)
 
     def check(self) -> None:
-        """Quality: metrics, row outcomes, the valid and rejected views, the gate.
+        """Quality: metrics, row outcomes, the valid and rejected views, the gates.
 
-        One write stores every row partitioned by outcome and counts the rows without an
-        id on the way. The gate raises only after that, so the rejected rows of a refused
-        run can be looked at.
+        One write stores every row partitioned by outcome, and counts on the way what the
+        metrics and the gates need; only the distinct count reads the table again. An empty
+        table is refused once that write has shown it to be empty, and a row without an id
+        once the rejected rows of the refused run can be looked at.
         """
         silver = read_table(self.spark, self.table("silver_customers"))
-        assert_not_empty(silver, self.table("silver_customers"))
-        metrics = quality_metrics(silver, CREDIT_SCORES)
-        append_table(
-            metrics.withColumn("run_timestamp", F.current_timestamp()),
-            self.table("quality_metrics"),
-        )
-
         checked = build_checked(silver)
         columns = checked.columns
-        gate = Observation("gate")
+        seen = Observation("quality")
         counted = checked.withColumn(STATUS_COLUMN, status(F.col(OVERALL_FLAG))).observe(
-            gate, count_where(F.col("CUSTOMER_ID").isNull()).alias("without_id")
+            seen, *metric_counts(metric_conditions())
         )
         write_table(
             counted,
@@ -89,12 +83,19 @@ class CreditRun:
             evolve_schema=False,
             partition_by=[STATUS_COLUMN],
         )
+        counts = seen.get
+        if not counts["total_rows"]:
+            raise EmptyTableError(f"{self.table('silver_customers')} has no rows")
+        distinct = silver.agg(*[F.countDistinct(c).alias(name) for name, c in DISTINCT_METRICS.items()])
+        metrics = distinct.select("*", *[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+        append_table(
+            metrics.withColumn("run_timestamp", F.current_timestamp()),
+            self.table("quality_metrics"),
+        )
         self._outcome_view("valid_customers", columns, ("valid",))
         self._outcome_view("rejected_customers", columns, REJECTED_STATUS[self.on_unknown])
-
-        without_id = gate.get["without_id"]
-        if without_id:
-            raise CriticalDataError(f"{without_id} rows have no CUSTOMER_ID")
+        if counts["null_customer_id"]:
+            raise CriticalDataError(f"{counts['null_customer_id']} rows have no CUSTOMER_ID")
 
     def _outcome_view(self, name: str, columns: list[str], outcomes: tuple[str, ...]) -> None:
         """A view over whole partitions of the checked table."""

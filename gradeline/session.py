@@ -1,8 +1,8 @@
-"""Session settings and input parallelism."""
+"""Session settings."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings the operators are tuned for.
 RUNTIME_SETTINGS = {
@@ -33,16 +33,3 @@ def configure_session(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the session has cores.
-
-    A small file, or one that cannot be split, arrives in few tasks while the cleaning
-    pass is bound by CPU. A scan with enough splits is returned as it is, so no shuffle
-    is added to a large input.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import cache
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 DELTA_EXTENSION = "DeltaSparkSessionExtension"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class SchemaMismatchError(ValueError):
@@ -31,12 +33,32 @@ def _local_scratch(application_id: str) -> str:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in a
-    local test, is a folder of this machine made, once per application.
+    A cluster names it in ``spark.checkpoint.dir``. A local session, whose tasks all share the
+    machine, may leave it unset and gets a folder of its own; any other raises.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_scratch(
-        spark.sparkContext.applicationId
-    )
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _local_scratch(spark.sparkContext.applicationId)
+
+
+class Staged:
+    """Rows computed once and kept in the shared folder while the ``with`` block runs."""
+
+    def __init__(self, df: DataFrame):
+        self.spark = df.sparkSession
+        self.path = f"{scratch_dir(self.spark)}/staged-{uuid.uuid4().hex}"
+        df.write.parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def __enter__(self) -> DataFrame:
+        return self.df
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -78,13 +100,29 @@ def write_table(
     """Replace the whole table, so a repeated run leaves the same rows.
 
     With ``evolve_schema=False`` the schema of an existing table is kept and a differing
-    one is refused before anything is written. Only a Delta table is replaced
-    atomically; see the README for the other formats.
+    one is refused before anything is written. A format without atomic replacement has the
+    rows computed into the shared folder first, so a failing computation leaves the old rows;
+    then an existing table of the same schema has its contents replaced where it is, and keeps
+    its place, kind and properties.
     """
     spark = df.sparkSession
-    if not evolve_schema and spark.catalog.tableExists(name):
+    fmt = fmt or default_format(spark)
+    exists = spark.catalog.tableExists(name)
+    if exists and not evolve_schema:
         check_schema(df, name)
-    writer = df.write.format(fmt or default_format(spark)).mode("overwrite")
+    if not exists or fmt == "delta":
+        _save(df, name, fmt, evolve_schema, partition_by, path)
+        return
+    same = _types(df.schema) == _types(spark.table(name).schema)
+    with Staged(df) as rows:
+        if same and _partitions(spark, name) == [c.upper() for c in partition_by] and path is None:
+            replace_rows(rows, name)
+        else:
+            _save(rows, name, fmt, evolve_schema, partition_by, path or _external_path(spark, name))
+
+
+def _save(df, name, fmt, evolve_schema, partition_by, path) -> None:
+    writer = df.write.format(fmt).mode("overwrite")
     if evolve_schema:
         writer = writer.option("overwriteSchema", True)
     if partition_by:
@@ -94,6 +132,27 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def replace_rows(df: DataFrame, name: str, only_partitions: bool = False) -> None:
+    """Overwrite the rows of a table in place, or those of the partitions that ``df`` has."""
+    spark = df.sparkSession
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic" if only_partitions else "static")
+    try:
+        df.select(*[f"`{c}`" for c in spark.table(name).columns]).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
+def _partitions(spark: SparkSession, name: str) -> list[str]:
+    return [column.name.upper() for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
+def _external_path(spark: SparkSession, name: str) -> str | None:
+    """Where an external table lies; none for a managed one."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return rows.get("Location") if rows.get("Type") == "EXTERNAL" else None
+
+
 def append_table(df: DataFrame, name: str, fmt: str | None = None) -> None:
     """Add rows to a table that keeps history."""
     df.write.format(fmt or default_format(df.sparkSession)).mode("append").saveAsTable(name)

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeline.session import spread
-
 # Each column reproduces one kind of dirt found in raw credit files.
 CREDIT_RAW_SQL = r"""
 WITH o AS (
@@ -66,7 +64,7 @@ def credit_raw(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
     if orders is None:
         orders = read_source(spark, sf_dir, "orders")
     narrow = orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return spark.sql(CREDIT_RAW_SQL, orders=spread(narrow))
+    return spark.sql(CREDIT_RAW_SQL, orders=narrow)
 
 
 def credit_raw_duckdb(orders: str = "orders") -> str:

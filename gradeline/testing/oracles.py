@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from gradeline.testing.fixtures import credit_raw_duckdb
+import re
+
+from gradeline.testing.fixtures import CREDIT_RAW_SQL, credit_raw_duckdb
 
 # Raw column names as delivered, by kind.
 INTS = (
@@ -87,10 +89,14 @@ def flag(loan: str) -> str:
     return f"CASE WHEN list_contains(LOAN_TYPES, '{loan}') THEN 1 ELSE 0 END"
 
 
-def stages(last: str, orders: str = "orders", keep: str = "TRUE") -> str:
+# The columns of the raw rows in their order.
+RAW_ORDER = tuple(re.findall(r"AS `([^`]+)`", CREDIT_RAW_SQL))
+
+
+def stages(last: str, orders: str = "orders", new_id: str | None = None) -> str:
     """WITH clause holding the stages up to ``last``: raw, clean, ranged, silver, checked, valid, gold.
 
-    ``keep`` is a condition on the raw rows.
+    ``new_id`` is what rows without an id get as theirs.
     """
     renamed = ", ".join(f'"{c}" AS {norm(c)}' for c in (*PLAIN, *INTS, *DECIMALS, *TEXTS))
     cleaned = ", ".join(
@@ -102,7 +108,8 @@ def stages(last: str, orders: str = "orders", keep: str = "TRUE") -> str:
     limited = ", ".join(f"CASE WHEN {c} BETWEEN {lo} AND {hi} THEN {c} END AS {c}" for c, (lo, hi) in RANGES.items())
     flags = ", ".join(f"{flag(loan)} AS {name}" for loan, name in FLAGS.items())
     ctes = {
-        "raw": f"SELECT {renamed} FROM ({credit_raw_duckdb(orders)}) WHERE {keep}",
+        "raw": f"SELECT {renamed} FROM ({credit_raw_duckdb(orders)})" if new_id is None
+        else f"SELECT * REPLACE (coalesce(CUSTOMER_ID, '{new_id}') AS CUSTOMER_ID) FROM (SELECT {renamed} FROM ({credit_raw_duckdb(orders)}))",
         "clean": f"SELECT {cleaned} FROM raw",
         "ranged": f"SELECT * REPLACE ({limited}) FROM clean",
         "silver": f"""SELECT *, {part('Years')} AS CREDIT_HISTORY_YEARS, {part('Months')} AS CREDIT_HISTORY_MONTHS_PART,
@@ -131,15 +138,15 @@ def upsert_sql() -> str:
     def load(statuses: str) -> str:
         inner = stages("silver", f"(SELECT * FROM orders WHERE o_orderstatus IN {statuses})")
         return (
-            f"SELECT * FROM ({inner} SELECT CUSTOMER_ID, MONTH, ID, row_number() OVER ("
+            f"SELECT * FROM ({inner} SELECT * REPLACE (array_to_string(LOAN_TYPES, '|') AS LOAN_TYPES), row_number() OVER ("
             "PARTITION BY CUSTOMER_ID, MONTH ORDER BY CAST(ID AS BIGINT)) AS r FROM silver) "
             "WHERE r = 1 OR CUSTOMER_ID IS NULL OR MONTH IS NULL"
         )
 
     return f"""WITH t AS ({load("('F', 'P')")}), s AS ({load("('O')")})
-        SELECT CUSTOMER_ID, MONTH, ID FROM t WHERE NOT EXISTS (
+        SELECT * EXCLUDE (r) FROM t WHERE NOT EXISTS (
             SELECT 1 FROM s WHERE s.CUSTOMER_ID = t.CUSTOMER_ID AND s.MONTH = t.MONTH)
-        UNION ALL SELECT CUSTOMER_ID, MONTH, ID FROM s"""
+        UNION ALL SELECT * EXCLUDE (r) FROM s"""
 
 
 def oracle_queries() -> dict[str, str]:
@@ -160,13 +167,16 @@ def oracle_queries() -> dict[str, str]:
     shown = "ID, CUSTOMER_ID, AGE, ANNUAL_INCOME, CREDIT_SCORE"
     loan_rows = "SELECT unnest(LOAN_TYPES) AS loan_type FROM valid"
     gold_columns = GOLD + ", " + ", ".join(FLAGS.values())
+    as_csv = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents"
+    shown_silver = f"SELECT {plain_derived}, array_to_string(LOAN_TYPES, '|') AS LOAN_TYPES, 'train.csv' AS _SOURCE_FILE, 'kaggle' AS _SOURCE_SYSTEM"
+    types = ", ".join(f"({i}, '{c}', 'string')" for i, c in enumerate(norm(c) for c in RAW_ORDER))
     return {
-        "csv_bronze_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents",
-        "csv_split_read": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents",
+        "csv_bronze_roundtrip": as_csv,
+        "csv_split_read": as_csv,
         "table_scan": "SELECT * FROM orders",
-        "full_refresh_idempotent": silver + "SELECT count(*) AS row_count, count(DISTINCT ID) AS distinct_ids FROM silver",
-        "fixed_schema_sink": silver + "SELECT count(*) AS row_count, count(DISTINCT ID) AS distinct_ids, TRUE AS refused FROM silver",
-        "sql_point_lookup": silver + "SELECT ID, CUSTOMER_ID, MONTH FROM silver WHERE CUSTOMER_ID = 'CUS_1'",
+        "full_refresh_idempotent": silver + shown_silver + " FROM silver",
+        "fixed_schema_sink": silver + shown_silver + ", TRUE AS refused FROM silver",
+        "sql_point_lookup": gold + "SELECT g.ID, g.CUSTOMER_ID, g.MONTH, raw.AGE AS RAW_AGE FROM gold g JOIN raw ON g.ID = raw.ID WHERE g.CUSTOMER_ID = 'CUS_1'",
         "source_completeness": raw + "SELECT f AS missing_file FROM (VALUES ('train.csv'), ('test.csv')) e(f) WHERE f NOT IN (SELECT 'train.csv' FROM raw)",
         "audit_columns": raw + "SELECT ID, 'train.csv' AS source_file, 'kaggle' AS source_system, TRUE AS has_timestamp FROM raw",
         "normalize_columns": raw + f"SELECT {', '.join(all_raw)} FROM raw",
@@ -206,7 +216,7 @@ def oracle_queries() -> dict[str, str]:
             count(*) FILTER (CREDIT_SCORE NOT IN ('Poor', 'Standard', 'Good')) AS invalid_credit_score FROM silver""",
         "value_profile": silver + "SELECT PAYMENT_BEHAVIOUR, count(*) AS n FROM silver GROUP BY 1",
         "bronze_value_profile": raw + "SELECT INTEREST_RATE, count(*) AS n FROM raw GROUP BY 1",
-        "load_profile": raw + "SELECT count(*) AS row_count, 28 AS column_count FROM raw",
+        "load_profile": raw + f"SELECT count(*) AS row_count, position, column_name, type FROM raw, (VALUES {types}) t(position, column_name, type) GROUP BY ALL",
         "critical_rows": silver + "SELECT count(*) AS critical_error_count FROM silver WHERE CUSTOMER_ID IS NULL",
         "empty_table_check": silver + """SELECT 'silver' AS input, count(*) = 0 AS is_empty FROM silver
             UNION ALL SELECT 'out_of_range', count(*) = 0 FROM silver WHERE NUM_OF_LOAN > 60""",
@@ -218,6 +228,9 @@ def oracle_queries() -> dict[str, str]:
         "duplicate_keys": silver + "SELECT CUSTOMER_ID, MONTH, count(*) AS n FROM silver GROUP BY 1, 2 HAVING count(*) > 1",
         "upsert_by_key": upsert_sql(),
         "upsert_into_table": upsert_sql(),
-        "silver_customers": silver + f"SELECT {plain_derived}, array_to_string(LOAN_TYPES, '|') AS LOAN_TYPES, 'train.csv' AS _SOURCE_FILE, 'kaggle' AS _SOURCE_SYSTEM FROM silver",
-        "end_to_end_run": stages("gold", keep='"Customer_ID" IS NOT NULL') + "SELECT CREDIT_SCORE, AGE_GROUP, INCOME_GROUP, count(*) AS n FROM gold GROUP BY 1, 2, 3",
+        "upsert_shuffled": upsert_sql(),
+        "limit_rows": silver + "SELECT least(count(*), 5) AS n, TRUE AS all_known FROM silver",
+        "gate_stops_publishing": checked + f"SELECT {outcome} AS dq_status, count(*) AS n, TRUE AS refused, FALSE AS published FROM checked GROUP BY 1",
+        "silver_customers": silver + shown_silver + " FROM silver",
+        "end_to_end_run": stages("gold", new_id="CUS_NEW") + f"SELECT {gold_columns} FROM gold",
     }

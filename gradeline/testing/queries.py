@@ -27,6 +27,7 @@ from gradeline.operators.lists import (
 )
 from gradeline.operators.quality import (
     OVERALL_FLAG,
+    CriticalDataError,
     critical_count,
     duplicate_keys,
     emptiness,
@@ -46,10 +47,12 @@ from gradeline.plans.credit import (
     BUSINESS_KEY,
     CREDIT_SCORES,
     CREDIT_SPEC,
+    DISTINCT_METRICS,
     EXPECTED_FILES,
     KNOWN_LOAN_TYPES,
     LOAN_FLAGS,
     credit_rules,
+    metric_conditions,
 )
 from gradeline.plans.layers import build_bronze, build_checked, build_gold, build_silver
 from gradeline.plans.run import CreditRun
@@ -70,6 +73,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed value: the customer looked up by the point queries.
 CUSTOMER = "CUS_1"
+# Fixed value: the customer that rows without an id are given to.
+NEW_CUSTOMER = "CUS_NEW"
 CHECKED_SAMPLE = ("ID", "CUSTOMER_ID", "AGE", "ANNUAL_INCOME", "CREDIT_SCORE")
 
 
@@ -118,7 +123,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 def _documents_as_csv(spark: SparkSession, sf_dir: str) -> str:
     _, folder = _scratch(spark)
-    docs = read_source(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_source(spark, sf_dir, "documents")
     (
         docs.write.option("header", True)
         .option("escape", '"')
@@ -143,17 +148,14 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
-def _row_and_id_counts(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("row_count"), F.countDistinct("ID").alias("distinct_ids")
-    )
-
-
 def full_refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written first without a column, then twice with the whole schema."""
     name, folder = _scratch(spark)
+    df = silver(spark, sf_dir)
+    write_table(df.drop("CREDIT_SCORE"), name, evolve_schema=True, path=folder)
     for _ in range(2):
-        write_table(silver(spark, sf_dir), name, evolve_schema=True, path=folder)
-    return _row_and_id_counts(read_table(spark, name))
+        write_table(df, name, evolve_schema=True)
+    return _shown(read_table(spark, name))
 
 
 def fixed_schema_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,13 +167,17 @@ def fixed_schema_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         refused = False
     except SchemaMismatchError:
         refused = True
-    return _row_and_id_counts(read_table(spark, name)).withColumn("refused", F.lit(refused))
+    return _shown(read_table(spark, name)).withColumn("refused", F.lit(refused))
 
 
 def sql_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views({"gradeline_silver": silver(spark, sf_dir)})
+    """SQL over a stored Gold table, joined with a session view of the raw rows."""
+    name, folder = _scratch(spark)
+    write_table(build_gold(valid(spark, sf_dir)), name, evolve_schema=False, path=folder)
+    register_views({"gradeline_raw": raw(spark, sf_dir)})
     return spark.sql(
-        f"SELECT ID, CUSTOMER_ID, MONTH FROM gradeline_silver WHERE CUSTOMER_ID = '{CUSTOMER}'"
+        f"SELECT g.ID, g.CUSTOMER_ID, g.MONTH, r.AGE AS RAW_AGE FROM {name} g JOIN gradeline_raw r ON g.ID = r.ID "
+        f"WHERE g.CUSTOMER_ID = '{CUSTOMER}'"
     )
 
 
@@ -220,7 +226,12 @@ def range_null_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir).select("ID").limit(5)
+    """How many rows a limit gives, and whether all are rows of the table: the same each time."""
+    ids = silver(spark, sf_dir).select("ID")
+    known = ids.distinct().withColumn("known", F.lit(True))
+    return ids.limit(5).join(known, "ID", "left").agg(
+        F.count("*").alias("n"), F.coalesce(F.bool_and(F.coalesce("known", F.lit(False))), F.lit(True)).alias("all_known")
+    )
 
 
 # --- cleaning --------------------------------------------------------------
@@ -322,7 +333,7 @@ def dq_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_metrics_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_metrics(silver(spark, sf_dir), CREDIT_SCORES)
+    return quality_metrics(silver(spark, sf_dir), metric_conditions(), DISTINCT_METRICS)
 
 
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,15 +405,22 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
     def load(statuses: list[str]) -> DataFrame:
         part = orders.filter(F.col("o_orderstatus").isin(*statuses))
-        return build_silver(credit_raw(spark, sf_dir, part)).select(*BUSINESS_KEY, "ID")
+        return build_silver(credit_raw(spark, sf_dir, part))
 
     stored = latest_per_key(load(["F", "P"]), BUSINESS_KEY, lowest_id)
     return stored, load(["O"]), lowest_id
 
 
-def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, update, lowest_id = _two_loads(spark, sf_dir)
-    return upsert(stored, update, BUSINESS_KEY, order_by=lowest_id)
+def _listed(df: DataFrame) -> DataFrame:
+    return df.withColumn("LOAN_TYPES", F.array_join("LOAN_TYPES", "|"))
+
+
+def _upsert(method: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored, update, lowest_id = _two_loads(spark, sf_dir)
+        return _listed(upsert(stored, update, BUSINESS_KEY, order_by=lowest_id, method=method))
+
+    return query
 
 
 def upsert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,15 +429,28 @@ def upsert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{database}.silver_customers"
     write_table(stored, name, evolve_schema=False, partition_by=["MONTH"])
     upsert_table(update, name, BUSINESS_KEY, order_by=lowest_id)
-    return read_table(spark, name).select(*BUSINESS_KEY, "ID")
+    return _listed(read_table(spark, name).select(*stored.columns))
 
 
 def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run over all rows, those without an id given one."""
     name = _scratch_database(spark)
-    train = credit_raw(spark, sf_dir).filter(F.col("Customer_ID").isNotNull())
+    train = credit_raw(spark, sf_dir).withColumn("Customer_ID", F.coalesce("Customer_ID", F.lit(NEW_CUSTOMER)))
     CreditRun(spark, name).run({"train.csv": train, "test.csv": train.drop("Credit_Score")})
-    gold = read_table(spark, f"{name}.gold_customer_credit")
-    return gold.groupBy("CREDIT_SCORE", "AGE_GROUP", "INCOME_GROUP").agg(F.count("*").alias("n"))
+    return _shown(read_table(spark, f"{name}.gold_customer_credit"))
+
+
+def gate_stops_publishing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run over all rows as they are: refused for the missing ids, the rows stored per outcome."""
+    name = _scratch_database(spark)
+    try:
+        CreditRun(spark, name).run({"train.csv": credit_raw(spark, sf_dir)})
+        refused = False
+    except CriticalDataError:
+        refused = True
+    published = spark.catalog.tableExists(f"{name}.gold_customer_credit")
+    stored = read_table(spark, f"{name}.checked_customers").groupBy("dq_status").agg(F.count("*").alias("n"))
+    return stored.select("dq_status", "n", F.lit(refused).alias("refused"), F.lit(published).alias("published"))
 
 
 REGISTER: dict[str, Query] = {
@@ -471,10 +502,12 @@ REGISTER: dict[str, Query] = {
     "sentinel_counts": sentinels,
     "unknown_loan_types": unknown_loan_types,
     "duplicate_keys": duplicates,
-    "upsert_by_key": upsert_by_key,
+    "upsert_by_key": _upsert("broadcast"),
+    "upsert_shuffled": _upsert("shuffled"),
     "upsert_into_table": upsert_into_table,
     "silver_customers": silver_customers,
     "end_to_end_run": end_to_end_run,
+    "gate_stops_publishing": gate_stops_publishing,
 }
 
 

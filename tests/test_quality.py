@@ -25,7 +25,7 @@ from gradeline.operators.quality import (
     split,
     value_profile,
 )
-from gradeline.plans.credit import CREDIT_SCORES, credit_rules
+from gradeline.plans.credit import DISTINCT_METRICS, credit_rules, metric_conditions
 
 # id, age, income, score, overall flag
 ROWS = [
@@ -73,7 +73,7 @@ def test_outcomes_add_up_to_all_rows(checked):
 
 
 def test_metrics(rows):
-    assert quality_metrics(rows, CREDIT_SCORES).first().asDict() == {
+    assert quality_metrics(rows, metric_conditions(), DISTINCT_METRICS).first().asDict() == {
         "total_rows": 9,
         "distinct_customers": 8,
         "null_customer_id": 1,
@@ -84,13 +84,13 @@ def test_metrics(rows):
 
 
 def test_metrics_by_sketch(rows):
-    exact, sketched = (quality_metrics(rows, CREDIT_SCORES, approximate=a).first().asDict() for a in (False, True))
+    exact, sketched = (quality_metrics(rows, metric_conditions(), DISTINCT_METRICS, approximate=a).first().asDict() for a in (False, True))
     assert abs(exact.pop("distinct_customers") - sketched.pop("distinct_customers")) <= 1
     assert exact == sketched
 
 
 def test_metrics_of_an_empty_table(rows):
-    row = quality_metrics(rows.filter("false"), CREDIT_SCORES).first()
+    row = quality_metrics(rows.filter("false"), metric_conditions(), DISTINCT_METRICS).first()
     assert row["total_rows"] == 0
     assert row["null_customer_id"] is None
 
@@ -107,7 +107,10 @@ def test_gates(rows):
 def test_profiles(spark, rows):
     nulls = {r["column_name"]: r["null_count"] for r in null_profile(rows, ["CUSTOMER_ID", "AGE"]).collect()}
     assert nulls == {"CUSTOMER_ID": 1, "AGE": 3}
-    assert load_profile(rows).first().asDict() == {"row_count": 9, "column_count": 6}
+    found = load_profile(rows).orderBy("position").collect()
+    assert [r["column_name"] for r in found] == rows.columns
+    assert {r["row_count"] for r in found} == {9}
+    assert [r["type"] for r in found] == [t for _, t in rows.dtypes]
     profile = [tuple(r) for r in value_profile(rows, "CREDIT_SCORE").collect()]
     assert profile == [(None, 2), ("Bad", 1), ("Good", 5), ("Standard", 1)]
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,38 @@ def test_views_are_visible_to_sql(spark):
     assert spark.sql("SELECT count(*) AS n FROM some_view WHERE id > 0").first()["n"] == 2
 
 
-def test_scratch_is_the_folder_the_session_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert scratch_dir(spark) == (named or scratch_dir(spark))
+def _session(master, **settings):
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="some"))
+
+
+def test_scratch_is_the_folder_the_session_names():
+    for master in ("local[2]", "spark://host:7077"):
+        assert scratch_dir(_session(master, **{"spark.checkpoint.dir": "/shared"})) == "/shared"
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_a_shared_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(_session(master))
+
+
+@pytest.mark.parametrize("external", [True, False])
+@pytest.mark.parametrize("evolve", [True, False])
+def test_a_write_that_fails_midway_leaves_the_old_rows(spark, name, tmp_path, external, evolve):
+    path = str(tmp_path / "table") if external else None
+    write_table(spark.range(3), name, evolve_schema=False, path=path)
+    failing = spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        write_table(failing.select(F.col("id").cast("long")), name, evolve_schema=evolve)
+    assert sorted(r["id"] for r in read_table(spark, name).collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("evolve", [True, False])
+def test_an_external_table_stays_where_it_is(spark, name, tmp_path, evolve):
+    path = str(tmp_path / "table")
+    write_table(spark.range(3), name, evolve_schema=False, path=path)
+    df = spark.range(4).withColumn("more", F.lit(1)) if evolve else spark.range(4)
+    write_table(df, name, evolve_schema=evolve)
+    assert spark.catalog.getTable(name).tableType == "EXTERNAL"
+    assert spark.read.parquet(path).count() == 4

@@ -24,9 +24,7 @@ def _rows(df):
 
 
 @pytest.fixture(params=["broadcast", "shuffled"])
-def join_way(request, monkeypatch):
-    if request.param == "shuffled":
-        monkeypatch.setattr(module, "BROADCAST_KEY_BYTES", -1)
+def join_way(request):
     return request.param
 
 
@@ -34,14 +32,14 @@ def test_matched_replaced_rest_kept_or_inserted(spark, join_way):
     target = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), (None, "x", 3)], SCHEMA)
     source = spark.createDataFrame([("a", "x", 10), ("c", "x", 30), (None, "x", 40)], SCHEMA)
     want = sorted([("a", "x", 10), ("b", "x", 2), ("c", "x", 30), (None, "x", 3), (None, "x", 40)], key=str)
-    assert _rows(upsert(target, source, KEYS)) == want
+    assert _rows(upsert(target, source, KEYS, method=join_way)) == want
 
 
 def test_twice_equals_once_for_full_keys(spark, join_way):
     target = spark.createDataFrame([("a", "x", 1), ("b", "x", 2)], SCHEMA)
     source = spark.createDataFrame([("a", "x", 10), ("c", "x", 30)], SCHEMA)
-    once = upsert(target, source, KEYS)
-    assert _rows(upsert(once, source, KEYS)) == _rows(once)
+    once = upsert(target, source, KEYS, method=join_way)
+    assert _rows(upsert(once, source, KEYS, method=join_way)) == _rows(once)
 
 
 def test_ambiguous_source(spark):
@@ -70,7 +68,7 @@ def test_hot_and_missing_keys(spark, join_way, in_source):
     )
     first = "hot" if in_source else "absent"
     source = spark.createDataFrame([(first, "x", -1), ("k1", "x", -2), ("new", "x", -3)], SCHEMA)
-    got = upsert(target, source, KEYS)
+    got = upsert(target, source, KEYS, method=join_way)
     counts = {r["k"]: r["count"] for r in got.groupBy("k").count().filter("k is null or count > 1").collect()}
     assert counts == ({None: n // 3} if in_source else {None: n // 3, "hot": n // 3})
     kept_hot = 0 if in_source else n // 3
@@ -78,31 +76,82 @@ def test_hot_and_missing_keys(spark, join_way, in_source):
     assert got.filter("v < 0").count() == 3
 
 
-@pytest.mark.parametrize("identical, most", [(False, 0.25), (True, 0.5)])
-def test_hot_rows_are_routed_over_many_tasks(spark, monkeypatch, tmp_path, identical, most):
-    """Three quarters of the rows share one key; copies spread by the task that read them."""
-    monkeypatch.setattr(module, "BROADCAST_KEY_BYTES", -1)
-    path = str(tmp_path / "target")
-    is_hot = F.col("id") % 4 > 0
-    value = F.when(is_hot, 0).otherwise(F.col("id")) if identical else F.col("id")
-    spark.range(0, 40_000, 1, 8).select(
-        F.when(is_hot, "hot").otherwise(F.col("id").cast("string")).alias("k"),
-        F.lit("x").alias("m"),
-        value.cast("int").alias("v"),
-    ).write.parquet(path)
-    source = spark.createDataFrame([("8", "x", 1)], SCHEMA)
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, setting in settings.items():
-        spark.conf.set(key, setting)
+@pytest.mark.parametrize(
+    "kind, wider", [("int", "bigint"), ("decimal(10,2)", "decimal(12,4)"), ("date", "timestamp")]
+)
+def test_keys_of_other_types_match_by_value(spark, join_way, kind, wider):
+    values = ["DATE '2020-01-01'", "DATE '2020-01-02'", "DATE '2020-01-03'"] if kind == "date" else ["1", "2", "3"]
+    one, two, three = values
+    target = spark.sql(f"SELECT CAST(k AS {kind}) AS k, 0 AS v FROM VALUES ({one}), ({two}) t(k)")
+    source = spark.sql(f"SELECT CAST(k AS {wider}) AS k, 1 AS v FROM VALUES ({one}), ({three}) t(k)")
+    got = upsert(target, source, ["k"], method=join_way)
+    assert sorted(r["v"] for r in got.collect()) == [0, 1, 1]
+
+
+def test_even_keys_are_not_hot_and_many_hot_keys_are_found(spark):
+    even = spark.range(1000).select(F.col("id").alias("k"))
+    assert module.hot_keys(even, ["k"]).count() == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
     try:
-        kept = module.without_keys(spark.read.parquet(path), source.select(*KEYS), KEYS)
-        per_task = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+        hot = spark.range(30_000).select((F.col("id") % 1500).alias("k"))
+        keys = module.hot_keys(hot, ["k"])
     finally:
-        for key, setting in before.items():
-            spark.conf.set(key, setting)
-    assert sum(per_task) == 39_999
-    assert max(per_task) < most * sum(per_task)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert keys.count() == 1500
+
+
+def test_rows_of_hot_keys_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "target")
+    hot = F.when(F.col("id") % 4 > 0, "hot").otherwise(F.col("id").cast("string"))
+    spark.range(0, 40_000, 1, 8).select(hot.alias("k"), F.lit("x").alias("m"), F.col("id").cast("int").alias("v")).write.parquet(path)
+    source = spark.createDataFrame([("8", "x", 1)], SCHEMA)
+    kept = module.without_keys(spark.read.parquet(path), source.select(*KEYS), KEYS, method="shuffled")
+    per_task = [r["count"] for r in kept.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 30_000
+    assert kept.count() == 39_999
+
+
+def test_touched_partitions_in_one_list(spark):
+    source = spark.range(3000).select(F.col("id").cast("string").alias("m")).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS m"))
+    condition = module.touched_partitions(source, ["m"])
+    found = source.filter(condition)
+    assert "INSET" in found._jdf.queryExecution().optimizedPlan().toString().upper().replace(" ", "")
+    assert found.count() == 3001
+
+
+def test_an_empty_update_touches_no_file(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    write_table(spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], SCHEMA), name, evolve_schema=False, partition_by=["m"])
+    before = sorted(read_table(spark, name).inputFiles())
+    upsert_table(spark.createDataFrame([], SCHEMA), name, KEYS)
+    assert sorted(read_table(spark, name).inputFiles()) == before
+
+
+def test_the_source_is_computed_once(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    write_table(spark.createDataFrame([("a", "x", 1)], SCHEMA), name, evolve_schema=False, partition_by=["m"])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame([("a", "x", 10), ("b", "y", 30)], SCHEMA).mapInArrow(counted, SCHEMA)
+    upsert_table(source, name, KEYS, order_by=F.col("v"))
+    assert seen.value == 2 or seen.value == 4  # each half of the pick by key reads the source
+    assert read_table(spark, name).count() == 2
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_an_external_table_stays_external_after_an_upsert(spark, tmp_path, partitioned):
+    name, path = f"t_{uuid.uuid4().hex}", str(tmp_path / "table")
+    by = ["m"] if partitioned else []
+    write_table(spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], SCHEMA), name, evolve_schema=False, path=path, partition_by=by)
+    upsert_table(spark.createDataFrame([("a", "x", 9)], SCHEMA), name, KEYS)
+    assert spark.catalog.getTable(name).tableType == "EXTERNAL"
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [2, 9]
 
 
 def test_best_row_is_picked_before_the_shuffle(spark):
@@ -124,7 +173,6 @@ def test_upsert_table(spark):
     for _ in range(2):
         upsert_table(source, name, KEYS)
         assert _rows(read_table(spark, name)) == [("a", "x", 10), ("b", "x", 2), ("c", "x", 30)]
-    assert not spark.catalog.tableExists(f"{name}__staged")
     with pytest.raises(SchemaMismatchError):
         upsert_table(source.withColumn("w", F.lit(1)), name, KEYS)
     with pytest.raises(AmbiguousSourceError):
@@ -149,11 +197,9 @@ def test_upsert_table_rewrites_only_touched_partitions(spark):
     assert _rows(read_table(spark, name).select("k", "m", "v")) == sorted(want, key=str)
     assert files("m IN ('y', 'z')") == untouched
     assert not files("m = 'x'") & touched
-    assert not spark.catalog.tableExists(f"{name}__staged")
 
 
-def test_upsert_table_keeps_partitioning_when_all_is_rewritten(spark, monkeypatch):
-    monkeypatch.setattr(module, "TOUCHED_PARTITIONS", 1)
+def test_upsert_table_keeps_partitioning_when_all_is_rewritten(spark):
     name = f"t_{uuid.uuid4().hex}"
     df = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], SCHEMA)
     write_table(df, name, evolve_schema=False, partition_by=["m"])

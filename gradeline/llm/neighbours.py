@@ -50,9 +50,9 @@ def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def nearest_in_shard(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """The best ``k`` candidates of each query, with exact scores, ties to smaller ids."""
-    none = pd.DataFrame({"query_id": [], "row": [], "ids": [], "scores": []})
     if not len(queries) or not len(candidates):
-        return none
+        kinds = {"query_id": "int64", "row": "int64", "ids": object, "scores": object}
+        return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in kinds.items()})
     q_ids, c_ids = queries["vec_id"].to_numpy(), candidates["vec_id"].to_numpy()
     q, c = (np.stack(x["vector"].to_numpy()).astype(np.float64) for x in (queries, candidates))
     rows = candidates["row"].to_numpy()

@@ -41,17 +41,16 @@ class _Rows:
     def __init__(self, indices: Sequence[np.ndarray], values: Sequence[np.ndarray] | None = None):
         self.sizes = np.array([len(x) for x in indices], dtype=np.int64)
         self.edges = np.r_[0, np.cumsum(self.sizes)]
-        self.indices = np.concatenate([*indices, np.zeros(0, dtype=np.int64)]).astype(np.int64)
-        ones = np.ones(len(self.indices))
-        self.values = ones if values is None else np.concatenate([*values, np.zeros(0)]).astype(np.float64)
+        self.indices = np.concatenate([*indices, np.zeros(0, dtype=np.int32)], dtype=np.int32, casting="unsafe")
+        self.values = None if values is None else np.concatenate([*values, np.zeros(0)]).astype(np.float64)
 
-    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row number within ``rows``, index and value of each feature."""
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+        """Row number within ``rows``, index and value of each feature; one value if all are 1."""
         sizes = self.sizes[rows]
         local = np.repeat(np.arange(len(rows)), sizes)
         offset = np.arange(len(local)) - np.repeat(np.r_[0, np.cumsum(sizes)[:-1]], sizes)
         at = np.repeat(self.edges[rows], sizes) + offset
-        return local, self.indices[at], self.values[at]
+        return local, self.indices[at], 1.0 if self.values is None else self.values[at]
 
 
 class _AdaGrad:

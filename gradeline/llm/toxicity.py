@@ -19,7 +19,7 @@ from gradeline.llm.common import FIRST_BASE, Rolling, map_texts, mixed, quoted
 from gradeline.llm.linear import BUCKETS, bounded_sample, fit_noisy_or, sigmoid
 
 THRESHOLD = 0.3
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 3000
 # Fixed value: how many first characters of a word are features beside the whole of it.
 BEGINNINGS = (3, 4, 5)
 
@@ -65,7 +65,10 @@ class ToxicityModel:
 
 
 def sample_features(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """Rows with ``features``, the hashed features of all sentences, and ``sizes`` of each."""
+    """Rows with ``features``, the hashed features of all sentences, and ``sizes`` of each.
+
+    Both are 32-bit integers packed as binary, which the driver can hold compactly.
+    """
 
     def make():
         rolling = Rolling(FIRST_BASE)
@@ -74,12 +77,13 @@ def sample_features(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
             texts, bags = [text or "" for text in texts], []
             for part in chunks(texts):
                 bags += Sentences(texts[part], rolling).bags(part.stop - part.start)
-            flat = [np.concatenate(bag) if bag else [] for bag in bags]
-            return [[len(sentence) for sentence in bag] for bag in bags], flat
+            none = np.zeros(0, dtype=np.int32)
+            flat = [np.concatenate([none, *bag], dtype=np.int32, casting="unsafe").tobytes() for bag in bags]
+            return [np.array([len(s) for s in bag], dtype=np.int32).tobytes() for bag in bags], flat
 
         return work
 
-    return map_texts(df, text_col, "sizes array<int>, features array<int>", make, keep)
+    return map_texts(df, text_col, "sizes binary, features binary", make, keep)
 
 
 def fit_toxicity(
@@ -108,7 +112,11 @@ def fit_toxicity(
     texts = df.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     # The sample is bounded by sample_rows, so it may be broadcast.
     rows = sample_features(texts.join(F.broadcast(ids), "id"), "text", ["label"]).collect()
-    bags = [np.split(np.array(r["features"], dtype=np.int64), np.cumsum(r["sizes"])[:-1]) if r["sizes"] else [] for r in rows]
+    bags = []
+    for row in rows:
+        sizes = np.frombuffer(row["sizes"], dtype=np.int32)
+        features = np.frombuffer(row["features"], dtype=np.int32)
+        bags.append(np.split(features, np.cumsum(sizes)[:-1]) if len(sizes) else [])
     return ToxicityModel(*fit_noisy_or(bags, np.array([r["label"] for r in rows])))
 
 

@@ -34,7 +34,8 @@ def _digests(df: DataFrame, base: tuple[str, ...]) -> list[Column]:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(documents(spark, sf_dir), keep=["doc_id"])
+    docs = documents(spark, sf_dir)
+    found = secrets.find_secrets(docs, keep=["doc_id"], words=secrets.corpus_words(docs))
     return found.select("doc_id", *_digests(found, ("assign", "access", "hex")))
 
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Collection
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from gradeline.llm.common import map_texts
+from gradeline.llm.common import map_texts, quoted
 
 # The patterns of the scan and the least length of what they find.
 ASSIGN = re.compile(
@@ -45,6 +46,9 @@ DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?\d{1,2}[-/._]?\d{1,2})?|\d{1,2}[-/._]
 DATE_GUESSES = math.log10(365 * 120)
 LONGEST_UNIT = 8
 SECRET_GUESSES = 8.0
+#: Most words that are counted, and their shortest and longest lengths.
+COUNTED_WORDS = 200_000
+WORD_LENGTHS = (3, 24)
 
 _NEXT = {(a, b) for row in WALKS for line in (row, row[::-1]) for a, b in zip(line, line[1:], strict=False)}
 
@@ -58,6 +62,36 @@ def _brute(char: str) -> float:
     return math.log10(33) if char.isascii() else math.log10(100)
 
 
+class Ranked(dict):
+    """Words with their ranks from 1 in the order given, of equal words the first."""
+
+    def __init__(self, words: Iterable[str]):
+        super().__init__((word, i) for i, word in enumerate(dict.fromkeys(words), 1))
+        self.longest = max(map(len, self), default=0)
+
+
+def corpus_words(df: DataFrame, text_col: str = "text", most: int = COUNTED_WORDS) -> Ranked:
+    """The common words and then those of the texts, by the number of texts they are in.
+
+    Words are runs of letters in lower case that are in two different texts at least. Values in
+    credential contexts are left out of the count, so a secret does not become a word by standing
+    in many copies of a text. At most ``most`` words reach the driver; a rarer one would cost a
+    guesser as much as brute force of four letters or more. Only words are shuffled, combined in
+    each task first.
+    """
+    text = quoted(text_col).cast("string")
+    for pattern in (ASSIGN, CONTEXT):
+        flag = "(?i)" if pattern.flags & re.IGNORECASE else ""
+        text = F.regexp_replace(text, flag + pattern.pattern, " ")
+    found = F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
+    words = df.select(F.xxhash64(quoted(text_col)).alias("of"), F.explode(found).alias("word"))
+    counted = words.filter(F.length("word").between(*WORD_LENGTHS)).groupBy("word").agg(
+        F.count("*").alias("n"), F.min("of").alias("low"), F.max("of").alias("high")
+    )
+    top = counted.filter("low <> high").orderBy(F.desc("n"), "word").limit(most).select("word").collect()
+    return Ranked([*COMMON_WORDS, *(row["word"] for row in top)])
+
+
 def guess_cost(value: str, words: Collection[str] = COMMON_WORDS) -> float:
     """The power of ten of the guesses that the cheapest segmentation needs.
 
@@ -66,8 +100,8 @@ def guess_cost(value: str, words: Collection[str] = COMMON_WORDS) -> float:
     Walks and repeats are followed character by character, so long values take time in
     proportion to their length.
     """
-    ranks = {word: i + 1 for i, word in enumerate(words)}
-    longest = max(map(len, ranks), default=0)
+    ranks = words if isinstance(words, Ranked) else Ranked(words)
+    longest = ranks.longest
     plain = value.lower()
     unleet = plain.translate(LEET)
     if len(plain) != len(value):
@@ -158,9 +192,13 @@ def find_secrets(
     each span, as it was judged). A null or empty text has no spans. Rows are independent,
     so nulls in other columns, repeated rows and ties change nothing; an empty table gives
     an empty result; an input column of a result's name is replaced. Nothing is shuffled.
+    ``words`` are what guessers try, the likeliest first; ``corpus_words`` counts them.
     """
+    sent = df.sparkSession.sparkContext.broadcast(words if isinstance(words, Ranked) else Ranked(words))
 
     def make():
+        words = sent.value
+
         def work(texts):
             kinds, starts, ends, guesses = [], [], [], []
             for text in texts:

@@ -77,6 +77,24 @@ def test_added_spans_stand_in_a_context_and_are_hard():
     assert [k for _, _, k in secrets.scan("password=abcdef12345")] == ["assign"]
 
 
+def test_clean_prose_is_no_secret_by_the_words_of_the_corpus(spark):
+    prose = [
+        "the secret is simple", "a simple answer was incorrect", "the password is incorrect", "Login is required, said the notice",
+        "the notice required nothing", "my credential is expired", "an expired and simple notice", "incorrect and required again",
+        "the secret is Simple enough", "expired yesterday", "she kept it simple", "what is incorrect is required",
+    ]
+    hard = ["the secret is kR9#tq!Zw2pL"] + ["the passphrase is xkqvzjwmbt"] * 3
+    hard += [f"copy {i}: the passphrase is xkqvzjwmbt" for i in range(3)]
+    docs = spark.createDataFrame(list(enumerate([*prose, *hard, None, ""])), "doc_id long, text string")
+    words = secrets.corpus_words(docs)
+    assert {"simple", "incorrect", "required", "expired"} <= set(words) and "xkqvzjwmbt" not in words
+    assert words["password"] == 1 and sorted(words.values()) == list(range(1, len(words) + 1))
+    rows = secrets.find_secrets(docs, words=words).collect()
+    found = {r["text"] for r in rows if r["kinds"]}
+    assert found == set(hard)
+    assert len(secrets.corpus_words(docs.filter("false"))) == len(set(secrets.COMMON_WORDS))
+
+
 def test_frames(spark, odd_docs, no_docs):
     found = secrets.find_secrets(odd_docs)
     assert found.count() == odd_docs.count() and found.filter("size(kinds) > 0").count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import zlib
 from collections.abc import Iterable, Sequence
 
@@ -13,6 +14,8 @@ BUCKETS = 1 << 18
 EPOCHS = 30
 BATCH = 256
 RATE = 0.5
+#: Features that are in memory at a time while bags are fitted.
+PIECE = 1 << 20
 
 
 def bucket(feature: str, buckets: int = BUCKETS) -> int:
@@ -92,9 +95,49 @@ def fit_logistic(
     return model.weights, model.bias
 
 
+class Bags:
+    """Bags of instances of features, which lie end to end in a file of the local temp folder.
+
+    Only the sizes are in memory, and the file has no name and goes with this object. ``add`` takes
+    what one bag has: the packed sizes of its instances and their packed features.
+    """
+
+    def __init__(self):
+        self._file = tempfile.TemporaryFile()
+        self._sizes: dict[int, tuple[np.ndarray, int]] = {}
+        self._end = 0
+
+    def add(self, number: int, sizes: bytes, features: bytes) -> None:
+        self._file.write(features)
+        self._sizes[number] = np.frombuffer(sizes, dtype=np.int32), self._end
+        self._end += len(features) // 4
+
+    def in_order(self) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the bags, ascending; first instance of each; first feature and size of each instance; features."""
+        self._file.flush()
+        flat = np.memmap(self._file, dtype=np.int32, mode="r") if self._end else np.zeros(0, dtype=np.int32)
+        numbers = sorted(self._sizes)
+        sizes = [self._sizes[n][0].astype(np.int64) for n in numbers]
+        starts = [self._sizes[n][1] + np.cumsum(size) - size for n, size in zip(numbers, sizes, strict=True)]
+        none = np.zeros(0, dtype=np.int64)
+        edges = np.r_[0, np.cumsum([len(size) for size in sizes], dtype=np.int64)]
+        return numbers, edges, np.concatenate([none, *starts]), np.concatenate([none, *sizes]), flat
+
+
+def _pieces(sizes: np.ndarray, most: int = PIECE) -> Iterable[slice]:
+    """Consecutive instances of about ``most`` features together; a larger one is alone."""
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield slice(start, stop)
+        start = stop
+
+
 def fit_noisy_or(
-    bags: Sequence[Sequence[np.ndarray]],
-    targets: np.ndarray,
+    bags: Bags,
+    labels: Sequence[int],
     buckets: int = BUCKETS,
     epochs: int = EPOCHS,
     penalty: float = 1e-4,
@@ -104,23 +147,37 @@ def fit_noisy_or(
 
     With p the instances' scores, P = 1 - prod(1 - p). The gradient of the log loss at the
     margin of an instance is p for a bag of label 0 and -p (1 - P) / P for one of label 1.
+    ``labels`` has that of each bag by its number. No more than a piece of the features of a
+    batch is in memory at a time.
     """
-    rows = _Rows([instance for bag in bags for instance in bag])
-    sizes = np.array([len(bag) for bag in bags], dtype=np.int64)
-    edges = np.r_[0, np.cumsum(sizes)]
+    numbers, edges, starts, sizes, flat = bags.in_order()
+    targets = np.array([labels[n] for n in numbers])
     model = _AdaGrad(buckets, bias, RATE)
-    for chosen in _batches(len(bags), epochs):
+    for chosen in _batches(len(numbers), epochs):
         instances = np.concatenate([np.arange(edges[b], edges[b + 1]) for b in chosen])
-        bag_of = np.repeat(np.arange(len(chosen)), sizes[chosen])
+        bag_of = np.repeat(np.arange(len(chosen)), edges[chosen + 1] - edges[chosen])
         if not len(instances):
             continue
-        local, at, value = rows.take(instances)
-        z = np.bincount(local, weights=model.weights[at] * value, minlength=len(instances)) + model.bias
-        p = sigmoid(z)
+        z = np.empty(len(instances))
+        for piece in _pieces(sizes[instances]):
+            local, at = _features(instances[piece], starts, sizes, flat)
+            z[piece] = np.bincount(local, weights=model.weights[at], minlength=piece.stop - piece.start)
+        p = sigmoid(z + model.bias)
         none = np.exp(np.bincount(bag_of, weights=np.log1p(-p), minlength=len(chosen)))
         some = np.maximum(1.0 - none, 1e-6)
         factor = np.where(targets[chosen] == 1, -none / some, 1.0)
         error = factor[bag_of] * p / len(chosen)
-        gradient = np.bincount(at, weights=error[local] * value, minlength=buckets)
+        gradient = np.zeros(buckets)
+        for piece in _pieces(sizes[instances]):
+            local, at = _features(instances[piece], starts, sizes, flat)
+            gradient += np.bincount(at, weights=error[piece][local], minlength=buckets)
         model.step(gradient + penalty * model.weights * (gradient != 0), float(error.sum()))
     return model.weights, model.bias
+
+
+def _features(instances: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the instance within ``instances``, and index, of each feature."""
+    size = sizes[instances]
+    local = np.repeat(np.arange(len(instances)), size)
+    offset = np.arange(len(local)) - np.repeat(np.cumsum(size) - size, size)
+    return local, np.asarray(flat[np.repeat(starts[instances], size) + offset])

@@ -13,10 +13,11 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gradeline.llm.chars import Words, chunks, is_not_word, lowered, spans
-from gradeline.llm.common import FIRST_BASE, Rolling, map_texts, mixed, quoted
-from gradeline.llm.linear import BUCKETS, bounded_sample, fit_noisy_or, sigmoid
+from gradeline.llm.common import FIRST_BASE, Rolling, Stored, map_texts, mixed, quoted, row_key
+from gradeline.llm.linear import BUCKETS, Bags, bounded_sample, fit_noisy_or, sigmoid
 
 THRESHOLD = 0.3
 SAMPLE_ROWS = 3000
@@ -67,7 +68,7 @@ class ToxicityModel:
 def sample_features(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """Rows with ``features``, the hashed features of all sentences, and ``sizes`` of each.
 
-    Both are 32-bit integers packed as binary, which the driver can hold compactly.
+    Both are 32-bit integers packed as binary.
     """
 
     def make():
@@ -95,9 +96,10 @@ def fit_toxicity(
     allowed: Column | None = None,
     sample_rows: int = SAMPLE_ROWS,
 ) -> ToxicityModel:
-    """Fit on at most ``sample_rows`` labelled documents of each class, whole texts.
+    """Fit on at most ``sample_rows`` labelled documents of each class, one whole text of each.
 
-    The sample is by the least hashes of the ids, so it is bounded whatever the input. Labels
+    The sample is by the least hashes of the ids, so it is bounded whatever the input. Its features
+    come to the driver file by file and wait on its disk, so their number does not count for memory. Labels
     other than 0 and 1 and null ids are left out; of several labels for one id the greatest
     counts. Without labels of both classes the model scores everything near 0.
     """
@@ -108,16 +110,25 @@ def fit_toxicity(
     chosen = bounded_sample(clean, "label", ["id"], sample_rows)
     if len({row["label"] for row in chosen}) < 2:
         return ToxicityModel(np.zeros(BUCKETS), -35.0)
-    ids = df.sparkSession.createDataFrame(chosen, clean.schema)
-    texts = df.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
+    numbered = [(row["id"], row["label"], n) for n, row in enumerate(chosen)]
+    ids = df.sparkSession.createDataFrame(numbered, StructType([*clean.schema.fields, StructField("number", IntegerType())]))
     # The sample is bounded by sample_rows, so it may be broadcast.
-    rows = sample_features(texts.join(F.broadcast(ids), "id"), "text", ["label"]).collect()
-    bags = []
-    for row in rows:
-        sizes = np.frombuffer(row["sizes"], dtype=np.int32)
-        features = np.frombuffer(row["features"], dtype=np.int32)
-        bags.append(np.split(features, np.cumsum(sizes)[:-1]) if len(sizes) else [])
-    return ToxicityModel(*fit_noisy_or(bags, np.array([r["label"] for r in rows])))
+    features = Stored(sample_features(_one_text_each(df, F.broadcast(ids), id_col, text_col), "text", ["number"]))
+    bags = Bags()
+    for row in features.df.toLocalIterator():
+        bags.add(row["number"], row["sizes"], row["features"])
+    features.drop()
+    return ToxicityModel(*fit_noisy_or(bags, [label for _, label, _ in numbered]))
+
+
+def _one_text_each(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``number`` and ``text`` of the ids; of several rows of one id that of the least row hash.
+
+    Each task first keeps one row of an id, so a repeated id moves one text a task at most.
+    """
+    key = F.struct(*row_key(id_col, text_col)).alias("key")
+    texts = df.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), key)
+    return texts.join(ids, "id").groupBy("number").agg(F.min_by("text", "key").alias("text"))
 
 
 def score_toxicity(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gradeline.llm import quality, toxicity, weak
+from gradeline.llm import linear, quality, toxicity, weak
 
 SF = "/root/testdata/sf0.1"  # the smaller tables label a few dozen toxic documents only
 
@@ -64,6 +64,22 @@ def test_offending_sentences_are_located(spark):
         assert found == (["you vile oaf"] if row["doc_id"] % 2 else [])
 
 
+def test_a_repeated_id_counts_once_in_the_sample(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} rain falls. we walk home" + (". you vile oaf" if i % 2 else "")) for i in range(60)]
+    often = [(3, "you vile oaf. bread and salt")] * 300 + [(4, "bread and salt"), (4, "bread and pepper")] * 150
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    added = []
+    add = linear.Bags.add
+    monkeypatch.setattr(linear.Bags, "add", lambda self, number, *rest: (added.append(number), add(self, number, *rest))[1])
+    frames = [spark.createDataFrame(x, "doc_id long, text string").repartition(n) for x, n in ((rows + often, 5), (often + rows, 2))]
+    models = [toxicity.fit_toxicity(docs, labels) for docs in frames]
+    assert sorted(added) == sorted([*range(60), *range(60)])
+    assert np.array_equal(models[0].weights, models[1].weights) and models[0].bias == models[1].bias
+    monkeypatch.setattr(linear, "_pieces", lambda sizes, pieces=linear._pieces: pieces(sizes, 10))
+    small = toxicity.fit_toxicity(frames[0], labels)
+    assert np.allclose(small.weights, models[0].weights) and np.isclose(small.bias, models[0].bias)
+
+
 def test_odd_and_empty(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(odd_docs, labels)

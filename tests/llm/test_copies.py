@@ -166,6 +166,36 @@ def test_lines(spark):
     assert all(r["n_lines"] == 6 and r["n_removed"] == 6 - len(want[i]) for i, r in got.items())
 
 
+def test_lines_that_are_not_first_are_linked(spark, monkeypatch):
+    # With fingerprint 1 for some lines and 0 for the others, only texts decide who is linked.
+    monkeypatch.setattr(lines, "TILE", 2)
+    first_a, first_b = "a" * 100, "c" * 100
+    member_a, member_b = "a" * 85 + "b" * 15, "a" * 70 + "b" * 30  # like one another; only the first is like first_a
+    other_b = "c" * 90 + "d" * 10
+    lone = "e" * 100
+    texts = [(0, first_a), (0, member_a), (1, first_b), (1, member_b), (1, other_b), (0, lone)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "id long, text string")
+    rows = docs.withColumn("no_id", F.lit(False)).withColumn("k1", F.col("id")).withColumn("k2", F.col("id"))
+    hashes = {first_a: 1, member_a: 2, lone: 3, first_b: 1, member_b: 4, other_b: 2}
+    places = [(sim, hashes[t], 10 * sim, False, i, i, i, 0) for i, (sim, t) in enumerate(texts)]
+    found = spark.createDataFrame(places, "sim long, h1 long, h2 long, no_id boolean, id long, k1 long, k2 long, line_no int")
+    found = found.select("h1", "h2", "sim", F.struct("no_id", "id", "k1", "k2", "line_no").alias("at"))
+    root = {r["node"]: r["root"] for r in lines.line_groups(found, rows, 0.8).collect()}
+    name = {t: f"{hashes[t]:X}-{10 * sim:X}" for sim, t in texts}
+    assert root[name[first_a]] == root[name[member_a]] == root[name[member_b]]
+    assert root[name[first_b]] == root[name[other_b]] != root[name[first_a]]
+    assert name[lone] not in root
+    # Both members are like their own first lines, and these unlike one another.
+    texts = ["a" * 100, "a" * 85 + "b" * 15, "a" * 70 + "b" * 30, "a" * 55 + "b" * 45]
+    places = [(n // 2, [1, 2, 2, 1][n], 10 * (n // 2), False, n, n, n, 0) for n in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = docs.withColumn("no_id", F.lit(False)).withColumn("k1", F.col("id")).withColumn("k2", F.col("id"))
+    found = spark.createDataFrame(places, "sim long, h1 long, h2 long, no_id boolean, id long, k1 long, k2 long, line_no int")
+    found = found.select("h1", "h2", "sim", F.struct("no_id", "id", "k1", "k2", "line_no").alias("at"))
+    root = {r["node"]: r["root"] for r in lines.line_groups(found, rows, 0.8).collect()}
+    assert len(root) == 4 and len(set(root.values())) == 1
+
+
 def test_simhash_of_few_and_of_many_words(spark):
     lists = [[f"w{i * k % 97}x{i}" for i in range(k)] for k in (1, 2, 3, 63, 64, 65, 300, 17_000)]
     got = lines.with_simhash(spark.createDataFrame([(w,) for w in lists], "w array<string>"), "w").collect()

@@ -8,10 +8,26 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeline.llm import bpe, jaccard, lines, neighbours, pii, quality, repeats, secrets, tiling, toxicity
+from gradeline.llm import (
+    bpe,
+    jaccard,
+    lines,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    ranking,
+    repeats,
+    secrets,
+    spelling,
+    tiling,
+    toxicity,
+)
 from gradeline.llm.common import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY_JSON = "byte_bpe_50k.json"
+END_ID = 2
 
 
 def _listed(kinds: Column, starts: Column, ends: Column, only: tuple[str, ...] | None = None) -> Column:
@@ -103,6 +119,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit_quality(docs), keep=["doc_id"])
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut_documents(
+        documents(spark, sf_dir),
+        public_tokenizers.path(VOCABULARY_JSON),
+        public_tokenizers.path(VOCABULARY),
+        public_tokenizers.PATTERN,
+        END_ID,
+    )
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranking.rank_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 REGISTER: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_substring_dedup": op2_substring_dedup,
@@ -114,6 +150,9 @@ REGISTER: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_personal_data": op9_personal_data,
     "op10_quality": op10_quality,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 # In the statements a window is 35 words, as in repeats.LEAST_WORDS, and 20 neighbours are kept.
@@ -144,5 +183,58 @@ p AS (
   FROM e q JOIN e c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(row_number() OVER o AS INTEGER) AS rank, vec_id, score
 FROM p WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER o <= 20""",
+    # crc32 byte by byte from its table of 256 remainders; near words share a word without one letter.
+    "op12_spelling_variants": r"""
+WITH RECURSIVE bits AS (
+  SELECT range AS i, 0 AS step, range AS v FROM range(256)
+  UNION ALL SELECT i, step + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE step < 8),
+remainders AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE step = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents) WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(regexp_replace(hex(encode(concat(doc_id, ':', run))), '(..)', '\1 ', 'g')[:-2], ' '),
+      lambda b: CAST('0x' || b AS BIGINT))),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) AS h
+  FROM runs, remainders),
+cut AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+shorter AS (SELECT word, i, word[1 : i - 1] || word[i + 1 :] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM shorter a JOIN shorter b USING (rest, i) WHERE a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.rest = w.word
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.rest = w.word),
+best AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS top, max(n) AS top_n
+  FROM near JOIN words ON b = word GROUP BY a),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 2 * n THEN top END AS form, CASE WHEN top_n >= 2 * n THEN top_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+paths AS (
+  SELECT word, word AS place FROM forms
+  UNION ALL SELECT paths.word, forms.form FROM paths JOIN forms ON place = forms.word WHERE form IS NOT NULL)
+SELECT f.word, f.form, place AS root, f.n, f.n_near, f.form_n
+FROM paths JOIN forms f ON paths.word = f.word JOIN forms last ON place = last.word WHERE last.form IS NULL""".replace("\\", "\\"),
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(w)) AS BIGINT) AS nt FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS wt FROM tf, totals GROUP BY term),
+q AS (
+  SELECT item_id, term, count(*) AS qtf FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+s AS (
+  SELECT item_id, r, doc_id, CAST(sum(qtf * wt * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(w) * nd) // nt)))) AS BIGINT) AS score
+  FROM q JOIN weights USING (term) JOIN tf USING (term) JOIN d USING (r), totals GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER o AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
 QUALIFY row_number() OVER o <= 20""",
 }

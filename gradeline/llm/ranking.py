@@ -43,6 +43,7 @@ SHARD_DOCS = 4096
 BLOCK_DOCS = 16
 SKETCH = 16
 VISITED_AT_ONCE = 8
+SUMMARY_CELLS = 1 << 21
 _LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
@@ -92,6 +93,7 @@ class Shard:
         self._sketches: np.ndarray | None = None
         self._blocks: dict[int, tuple] = {}
         self._column = np.zeros(n_vocabulary, dtype=np.int64)
+        self._held = np.zeros(n_vocabulary, dtype=bool)
 
     def sketches(self) -> np.ndarray:
         """A unit vector for each document: its impacts, projected on random directions."""
@@ -125,16 +127,30 @@ class Shard:
 
     def _summaries(self, docs: np.ndarray, of: np.ndarray, n_blocks: int) -> tuple:
         at = _flat(self.starts[docs], self.sizes[docs])
-        terms = self.terms[at]
-        columns = np.unique(terms)
+        of = np.repeat(of, self.sizes[docs])
+        terms, values = self.terms[at], self.values[at]
+        self._held[terms] = True
+        columns = np.flatnonzero(self._held)
+        self._held[columns] = False
         self._column[columns] = np.arange(len(columns))
-        key = np.repeat(of, self.sizes[docs]) * len(columns) + self._column[terms]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        most = np.maximum.reduceat(self.values[at][order], first)
-        starts = np.searchsorted(key[first], np.arange(n_blocks + 1) * len(columns))
-        return starts, columns[key[first] % len(columns)], most
+        places = self._column[terms]
+        starts, found, most = [0], [], []
+        step = max(1, SUMMARY_CELLS // max(1, len(columns)))
+        for first in range(0, n_blocks, step):  # some blocks as a table of all columns
+            part = slice(*np.searchsorted(of, [first, first + step]))
+            table = np.zeros((min(step, n_blocks - first), len(columns)), dtype=np.int64)
+            np.maximum.at(table.reshape(-1), (of[part] - first) * len(columns) + places[part], values[part])
+            row, column = np.nonzero(table)
+            starts += (starts[-1] + np.cumsum(np.bincount(row, minlength=len(table)))).tolist()
+            found.append(columns[column])
+            most.append(table[row, column])
+        return np.array(starts), np.concatenate(found), np.concatenate(most)
+
+    @staticmethod
+    def bounds(summaries: tuple, weights: np.ndarray) -> np.ndarray:
+        """For each block, what no score of its documents is above."""
+        starts, columns, most = summaries
+        return np.diff(np.concatenate([[0], np.cumsum(weights[columns] * most)])[starts])
 
     def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
         at = _flat(self.starts[docs], self.sizes[docs])
@@ -172,24 +188,19 @@ class Shard:
         short = np.flatnonzero((sizes <= BLOCK_DOCS) & (below >= floor))
         if len(short):
             visit(self.docs[_flat(self.lists[terms[short]], sizes[short])])
-        blocks, bounds = [], []
-        for place in np.flatnonzero((sizes > BLOCK_DOCS) & (below >= floor)).tolist():
-            docs, of, starts, columns, most = self.blocks(int(terms[place]))
-            # A document that no list of a greater bound holds has at most ``below`` as well.
-            bound = np.minimum(np.add.reduceat(weights[columns] * most, starts[:-1]), below[place])
+        for place in np.flatnonzero((sizes > BLOCK_DOCS) & (below >= floor))[::-1].tolist():
+            if below[place] < floor:
+                break
+            docs, of, *summaries = self.blocks(int(terms[place]))
+            bound = self.bounds(summaries, weights)
             edges = np.searchsorted(of, np.arange(len(bound) + 1))
-            good = np.flatnonzero(bound >= floor)
-            blocks += [docs[edges[i] : edges[i + 1]] for i in good.tolist()]
-            bounds.append(bound[good])
-        if blocks:
-            bound = np.concatenate(bounds)
             order = np.argsort(-bound, kind="stable")
             for i in range(0, len(order), VISITED_AT_ONCE):
                 some = order[i : i + VISITED_AT_ONCE]
                 some = some[bound[some] >= floor]
-                if not len(some):
+                if not len(some) or below[place] < floor:
                     break
-                visit(np.concatenate([blocks[j] for j in some.tolist()]))
+                visit(docs[_flat(edges[some], edges[some + 1] - edges[some])])
         return found, scored
 
 

@@ -106,7 +106,7 @@ def test_summaries_bound_every_document():
         docs, of, starts, columns, most = shard.blocks(term)
         assert sorted(docs) == sorted(shard.docs[shard.lists[term] : shard.lists[term + 1]])
         if len(docs):
-            bounds = np.add.reduceat(weights[columns] * most, starts[:-1])
+            bounds = shard.bounds((starts, columns, most), weights)
             assert (shard.scores(docs, weights) <= bounds[of]).all()
             for block in range(len(bounds)):  # coordinatewise the greatest, not more
                 inside = np.zeros(400, dtype=np.int64)

@@ -17,7 +17,7 @@ from gradeline.operators.quality import (
 )
 from gradeline.plans.credit import DISTINCT_METRICS, metric_conditions
 from gradeline.plans.layers import build_bronze, build_checked, build_gold, build_silver
-from gradeline.sources.tables import append_table, read_table, write_table
+from gradeline.sources.tables import append_table, publish_table, read_table
 
 # Which outcomes the rejected view shows, by how unknown rows are treated.
 REJECTED_STATUS = {"drop": ("rejected",), "reject": ("rejected", "unknown")}
@@ -53,14 +53,14 @@ class CreditRun:
             bronze = build_bronze(df, file_name)
             load = Observation(f"load of {file_name}")
             counted = bronze.observe(load, F.count("*").alias("row_count"))
-            write_table(counted, self.table(name), evolve_schema=True)
+            publish_table(counted, self.table(name), evolve_schema=True)
             profiles[name] = {**load.get, "column_count": len(bronze.columns)}
         return profiles
 
     def refine(self, bronze: str = "bronze_train") -> None:
         """Silver: names, types, cleaning, derived columns."""
         silver = build_silver(read_table(self.spark, self.table(bronze)))
-        write_table(silver, self.table("silver_customers"), evolve_schema=True)
+        publish_table(silver, self.table("silver_customers"), evolve_schema=True)
 
     def check(self) -> None:
         """Quality: metrics, row outcomes, the valid and rejected views, the gates.
@@ -77,7 +77,7 @@ class CreditRun:
         counted = checked.withColumn(STATUS_COLUMN, status(F.col(OVERALL_FLAG))).observe(
             seen, *metric_counts(metric_conditions())
         )
-        write_table(
+        publish_table(
             counted,
             self.table("checked_customers"),
             evolve_schema=False,
@@ -109,7 +109,7 @@ class CreditRun:
     def publish(self) -> None:
         """Gold: the valid rows in the published schema."""
         gold = build_gold(read_table(self.spark, self.table("valid_customers")))
-        write_table(gold, self.table("gold_customer_credit"), evolve_schema=False)
+        publish_table(gold, self.table("gold_customer_credit"), evolve_schema=False)
 
     def run(self, raw: Mapping[str, DataFrame]) -> None:
         """All stages in order; a raised check stops before the published table."""

@@ -3,8 +3,11 @@
 from gradeline.sources.completeness import missing_sources
 from gradeline.sources.files import read_raw_csv, read_raw_csv_split
 from gradeline.sources.tables import (
+    NotAViewError,
     SchemaMismatchError,
     append_table,
+    drop_published,
+    publish_table,
     read_table,
     register_views,
     scratch_dir,
@@ -12,9 +15,12 @@ from gradeline.sources.tables import (
 )
 
 __all__ = [
+    "NotAViewError",
     "SchemaMismatchError",
     "append_table",
+    "drop_published",
     "missing_sources",
+    "publish_table",
     "read_raw_csv",
     "read_raw_csv_split",
     "read_table",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +45,7 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 class Staged:
-    """Rows computed once and kept in the shared folder while the ``with`` block runs."""
+    """Rows computed once and kept in the shared folder while the ``with`` block runs, or until dropped."""
 
     def __init__(self, df: DataFrame):
         self.spark = df.sparkSession
@@ -57,6 +57,9 @@ class Staged:
         return self.df
 
     def __exit__(self, *_: object) -> None:
+        self.drop()
+
+    def drop(self) -> None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -153,6 +156,74 @@ def _external_path(spark: SparkSession, name: str) -> str | None:
     return rows.get("Location") if rows.get("Type") == "EXTERNAL" else None
 
 
+# --- publishing by a view ----------------------------------------------------
+
+LIVE_PROPERTY = "gradeline.live"
+SLOTS = ("a", "b")
+
+
+class NotAViewError(ValueError):
+    """A plain table has the name of a view to publish by."""
+
+
+def _live_slot(spark: SparkSession, name: str) -> str | None:
+    """The slot that the published view shows; none if nothing was published."""
+    if not spark.catalog.tableExists(name):
+        return None
+    if spark.catalog.getTable(name).tableType != "VIEW":
+        raise NotAViewError(f"{name} is a table; publish_table switches a view of that name")
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return properties.get(LIVE_PROPERTY)
+
+
+def publish_table(
+    df: DataFrame,
+    name: str,
+    *,
+    evolve_schema: bool,
+    partition_by: Sequence[str] = (),
+    audit: Callable[[DataFrame], None] | None = None,
+    path: str | None = None,
+    fmt: str | None = None,
+) -> None:
+    """Replace the whole table by writing its rows beside it and switching a view over.
+
+    ``name`` is a view over one of two tables, ``name__a`` and ``name__b``. The rows are written
+    once, to the one that the view does not show; ``audit`` may look at them there and raise; then
+    one statement of the catalog shows them. Readers see the old rows or the new ones and never a
+    part, whatever fails leaves the old rows shown, and the old table stays until the next refresh,
+    so queries that are reading it end well. The new rows may be computed from the view itself.
+    With ``evolve_schema=False`` a differing schema is refused before anything is written. ``path``
+    names a folder that holds both tables; without it they are managed.
+    """
+    spark = df.sparkSession
+    live = _live_slot(spark, name)
+    if live and not evolve_schema:
+        check_schema(df, name)
+    slot = SLOTS[live == SLOTS[0]]
+    table = f"{name}__{slot}"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    folder = None if path is None and live is None else path or _shown_folder(spark, f"{name}__{live}")
+    _save(df, table, fmt or default_format(spark), evolve_schema, partition_by, f"{folder}/{slot}" if folder else None)
+    if audit:
+        audit(spark.table(table))
+    columns = ", ".join("`" + c.replace("`", "``") + "`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{LIVE_PROPERTY}' = '{slot}') AS SELECT {columns} FROM {table}")
+
+
+def _shown_folder(spark: SparkSession, table: str) -> str | None:
+    """The folder over an external slot; none for a managed one."""
+    place = _external_path(spark, table)
+    return place.rsplit("/", 1)[0] if place else None
+
+
+def drop_published(spark: SparkSession, name: str) -> None:
+    """Remove the view and both tables; the files of external ones stay."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    for slot in SLOTS:
+        spark.sql(f"DROP TABLE IF EXISTS {name}__{slot}")
+
+
 def append_table(df: DataFrame, name: str, fmt: str | None = None) -> None:
     """Add rows to a table that keeps history."""
     df.write.format(fmt or default_format(df.sparkSession)).mode("append").saveAsTable(name)

@@ -60,10 +60,15 @@ def read_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def credit_raw(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
-    """The dirty table over all orders, or over the given ones."""
+    """The dirty table over all orders, or over the given ones.
+
+    The orders are one file with one row group, which one task would read; as many small files,
+    which the raw rows of a large load are, they are dealt by key before the wide rows are made.
+    """
     if orders is None:
         orders = read_source(spark, sf_dir, "orders")
     narrow = orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    narrow = narrow.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     return spark.sql(CREDIT_RAW_SQL, orders=narrow)
 
 

@@ -134,16 +134,27 @@ def per_column(columns, condition: str, count: str, table: str) -> str:
     )
 
 
+def load_sql(statuses: str) -> str:
+    """Silver over the orders of these statuses, one row for each full key."""
+    inner = stages("silver", f"(SELECT * FROM orders WHERE o_orderstatus IN {statuses})")
+    return (
+        f"SELECT * FROM ({inner} SELECT * REPLACE (array_to_string(LOAN_TYPES, '|') AS LOAN_TYPES), row_number() OVER ("
+        "PARTITION BY CUSTOMER_ID, MONTH ORDER BY CAST(ID AS BIGINT)) AS r FROM silver) "
+        "WHERE r = 1 OR CUSTOMER_ID IS NULL OR MONTH IS NULL"
+    )
+
+
+def changes_sql() -> str:
+    """Source rows against the one stored row of their key, value by value."""
+    return f"""WITH t AS ({load_sql("('F', 'P')")}), s AS ({load_sql("('O', 'P')")})
+        SELECT s.ID, s.CUSTOMER_ID, s.MONTH, CASE WHEN t.ID IS NULL THEN 'inserted'
+            WHEN EXISTS (SELECT x FROM (SELECT s.* EXCLUDE (r)) x INTERSECT SELECT y FROM (SELECT t.* EXCLUDE (r)) y) THEN 'unchanged'
+            ELSE 'updated' END AS change
+        FROM s LEFT JOIN t ON s.CUSTOMER_ID = t.CUSTOMER_ID AND s.MONTH = t.MONTH"""
+
+
 def upsert_sql() -> str:
-    def load(statuses: str) -> str:
-        inner = stages("silver", f"(SELECT * FROM orders WHERE o_orderstatus IN {statuses})")
-        return (
-            f"SELECT * FROM ({inner} SELECT * REPLACE (array_to_string(LOAN_TYPES, '|') AS LOAN_TYPES), row_number() OVER ("
-            "PARTITION BY CUSTOMER_ID, MONTH ORDER BY CAST(ID AS BIGINT)) AS r FROM silver) "
-            "WHERE r = 1 OR CUSTOMER_ID IS NULL OR MONTH IS NULL"
-        )
-
-    return f"""WITH t AS ({load("('F', 'P')")}), s AS ({load("('O')")})
+    return f"""WITH t AS ({load_sql("('F', 'P')")}), s AS ({load_sql("('O')")})
         SELECT * EXCLUDE (r) FROM t WHERE NOT EXISTS (
             SELECT 1 FROM s WHERE s.CUSTOMER_ID = t.CUSTOMER_ID AND s.MONTH = t.MONTH)
         UNION ALL SELECT * EXCLUDE (r) FROM s"""
@@ -229,6 +240,7 @@ def oracle_queries() -> dict[str, str]:
         "upsert_by_key": upsert_sql(),
         "upsert_into_table": upsert_sql(),
         "upsert_shuffled": upsert_sql(),
+        "upsert_changes": changes_sql(),
         "limit_rows": silver + "SELECT least(count(*), 5) AS n, TRUE AS all_known FROM silver",
         "gate_stops_publishing": checked + f"SELECT {outcome} AS dq_status, count(*) AS n, TRUE AS refused, FALSE AS published FROM checked GROUP BY 1",
         "silver_customers": silver + shown_silver + " FROM silver",

@@ -42,7 +42,7 @@ from gradeline.operators.quality import (
     split,
     value_profile,
 )
-from gradeline.operators.upsert import latest_per_key, upsert, upsert_table
+from gradeline.operators.upsert import classify_changes, latest_per_key, upsert, upsert_table
 from gradeline.plans.credit import (
     BUSINESS_KEY,
     CREDIT_SCORES,
@@ -60,6 +60,7 @@ from gradeline.session import configure_session
 from gradeline.sources import (
     SchemaMismatchError,
     missing_sources,
+    publish_table,
     read_raw_csv,
     read_raw_csv_split,
     read_table,
@@ -152,18 +153,18 @@ def full_refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written first without a column, then twice with the whole schema."""
     name, folder = _scratch(spark)
     df = silver(spark, sf_dir)
-    write_table(df.drop("CREDIT_SCORE"), name, evolve_schema=True, path=folder)
+    publish_table(df.drop("CREDIT_SCORE"), name, evolve_schema=True, path=folder)
     for _ in range(2):
-        write_table(df, name, evolve_schema=True)
+        publish_table(df, name, evolve_schema=True)
     return _shown(read_table(spark, name))
 
 
 def fixed_schema_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, folder = _scratch(spark)
     df = silver(spark, sf_dir)
-    write_table(df, name, evolve_schema=False, path=folder)
+    publish_table(df, name, evolve_schema=False, path=folder)
     try:
-        write_table(df.withColumn("AGE", F.col("AGE").cast("string")), name, evolve_schema=False, path=folder)
+        publish_table(df.withColumn("AGE", F.col("AGE").cast("string")), name, evolve_schema=False)
         refused = False
     except SchemaMismatchError:
         refused = True
@@ -415,7 +416,7 @@ def _listed(df: DataFrame) -> DataFrame:
     return df.withColumn("LOAN_TYPES", F.array_join("LOAN_TYPES", "|"))
 
 
-def _upsert(method: str) -> Query:
+def _upsert(method: str | None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored, update, lowest_id = _two_loads(spark, sf_dir)
         return _listed(upsert(stored, update, BUSINESS_KEY, order_by=lowest_id, method=method))
@@ -423,6 +424,14 @@ def _upsert(method: str) -> Query:
     return query
 
 
+def upsert_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What open and pending orders would change in the stored ones, of which the pending are."""
+    stored, _, lowest_id = _two_loads(spark, sf_dir)
+    orders = read_source(spark, sf_dir, "orders").filter(F.col("o_orderstatus").isin("O", "P"))
+    update = latest_per_key(build_silver(credit_raw(spark, sf_dir, orders)), BUSINESS_KEY, lowest_id)
+    return classify_changes(stored, update, BUSINESS_KEY).select("ID", "CUSTOMER_ID", "MONTH", "change")
+
+
 def upsert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _scratch_database(spark)
     stored, update, lowest_id = _two_loads(spark, sf_dir)
@@ -502,9 +511,10 @@ REGISTER: dict[str, Query] = {
     "sentinel_counts": sentinels,
     "unknown_loan_types": unknown_loan_types,
     "duplicate_keys": duplicates,
-    "upsert_by_key": _upsert("broadcast"),
+    "upsert_by_key": _upsert(None),
     "upsert_shuffled": _upsert("shuffled"),
     "upsert_into_table": upsert_into_table,
+    "upsert_changes": upsert_changes,
     "silver_customers": silver_customers,
     "end_to_end_run": end_to_end_run,
     "gate_stops_publishing": gate_stops_publishing,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gradeline.operators import upsert as module
 from gradeline.operators.upsert import (
     AmbiguousSourceError,
+    classify_changes,
     latest_per_key,
     merge_statement,
     upsert,
@@ -88,28 +89,52 @@ def test_keys_of_other_types_match_by_value(spark, join_way, kind, wider):
     assert sorted(r["v"] for r in got.collect()) == [0, 1, 1]
 
 
-def test_even_keys_are_not_hot_and_many_hot_keys_are_found(spark):
-    even = spark.range(1000).select(F.col("id").alias("k"))
-    assert module.hot_keys(even, ["k"]).count() == 0
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "4000")
-    try:
-        hot = spark.range(30_000).select((F.col("id") % 1500).alias("k"))
-        keys = module.hot_keys(hot, ["k"])
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert keys.count() == 1500
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_rows_of_hot_keys_are_not_shuffled(spark, tmp_path):
+def test_the_target_is_read_once(spark, tmp_path, join_way):
     path = str(tmp_path / "target")
-    hot = F.when(F.col("id") % 4 > 0, "hot").otherwise(F.col("id").cast("string"))
-    spark.range(0, 40_000, 1, 8).select(hot.alias("k"), F.lit("x").alias("m"), F.col("id").cast("int").alias("v")).write.parquet(path)
-    source = spark.createDataFrame([("8", "x", 1)], SCHEMA)
-    kept = module.without_keys(spark.read.parquet(path), source.select(*KEYS), KEYS, method="shuffled")
-    per_task = [r["count"] for r in kept.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(per_task) == 30_000
-    assert kept.count() == 39_999
+    spark.createDataFrame([("a", "x", 1), ("b", "x", 2), (None, "x", 3)], SCHEMA).write.parquet(path)
+    source = spark.createDataFrame([("a", "x", 10)], SCHEMA)
+    merged = upsert(spark.read.parquet(path), source, KEYS, order_by=F.col("v"), method=join_way)
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 3  # target, source keys, source rows
+    assert _rows(merged) == sorted([("a", "x", 10), ("b", "x", 2), (None, "x", 3)], key=str)
+
+
+def test_a_hot_key_and_rows_without_key_are_split(spark, tmp_path):
+    """The hot key's partition is read in parts; the rows without a key are dealt over all tasks."""
+    path = str(tmp_path / "target")
+    kind = F.col("id") % 3
+    key = F.when(kind == 0, "hot").when(kind == 1, F.col("id").cast("string"))
+    rows = spark.range(0, 60_000, 1, 8).select(key.alias("k"), F.lit("x").alias("m"), F.col("id").cast("int").alias("v"))
+    rows.write.parquet(path)
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.files.openCostInBytes": "16k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for setting, value in settings.items():
+        spark.conf.set(setting, value)
+    try:
+        source = spark.createDataFrame([("1", "x", 1), ("gone", "x", 1)], SCHEMA)
+        kept = module.without_keys(spark.read.parquet(path), source.select(*KEYS), KEYS, method="shuffled")
+        per_task = kept.groupBy("k", F.spark_partition_id().alias("p")).count().filter("k = 'hot' OR k IS NULL").collect()
+        assert "skew=true" in _final_plan(kept)
+    finally:
+        for setting, value in before.items():
+            spark.conf.set(setting, value)
+    for key in ("hot", None):
+        parts = [r["count"] for r in per_task if r["k"] == key]
+        assert sum(parts) == 20_000 and len(parts) > 1 and max(parts) <= 10_000
+    assert kept.count() == 59_999
 
 
 def test_touched_partitions_in_one_list(spark):
@@ -140,7 +165,7 @@ def test_the_source_is_computed_once(spark):
 
     source = spark.createDataFrame([("a", "x", 10), ("b", "y", 30)], SCHEMA).mapInArrow(counted, SCHEMA)
     upsert_table(source, name, KEYS, order_by=F.col("v"))
-    assert seen.value == 2 or seen.value == 4  # each half of the pick by key reads the source
+    assert seen.value == 2
     assert read_table(spark, name).count() == 2
 
 
@@ -206,3 +231,53 @@ def test_upsert_table_keeps_partitioning_when_all_is_rewritten(spark):
     upsert_table(spark.createDataFrame([("a", "x", 9), ("b", "y", 8)], SCHEMA), name, KEYS)
     assert _rows(read_table(spark, name).select("k", "m", "v")) == [("a", "x", 9), ("b", "y", 8)]
     assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["m"]
+
+
+def _changes(target, source, **more):
+    rows = classify_changes(target, source, KEYS, **more).collect()
+    return sorted((tuple(r)[:-1] + (r["change"],) for r in rows), key=str)
+
+
+def test_changes_by_kind(spark, join_way):
+    target = [("a", "x", 1), ("b", "x", 2), ("c", "x", None), ("d", "x", 4), ("d", "x", 4), (None, "x", 5)]
+    source = [("a", "x", 1), ("b", "x", 3), ("c", "x", None), ("d", "x", 4), ("e", "x", 5), (None, "x", 5)]
+    got = _changes(spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA), method=join_way)
+    kinds = ["unchanged", "updated", "unchanged", "updated", "inserted", "inserted"]
+    assert got == sorted([(*row, kind) for row, kind in zip(source, kinds, strict=True)], key=str)
+
+
+def test_changes_compare_in_the_types_of_the_target_and_see_where_a_null_is(spark):
+    target = spark.sql("SELECT 'a' AS k, 'x' AS m, CAST(1 AS BIGINT) AS v, array('p', NULL) AS w, NULL AS s, 't' AS t")
+    for w, s, t, kind in (
+        ("array('p', NULL)", "NULL", "'t'", "unchanged"),
+        ("array(NULL, 'p')", "NULL", "'t'", "updated"),
+        ("array('p', NULL)", "'t'", "NULL", "updated"),
+    ):
+        source = spark.sql(f"SELECT 'a' AS k, 'x' AS m, CAST(1 AS INT) AS v, {w} AS w, {s} AS s, {t} AS t")
+        assert [r["change"] for r in classify_changes(target.withColumn("s", F.col("s").cast("string")), source, KEYS).collect()] == [kind]
+
+
+def test_changes_of_empty_sides(spark):
+    none, one = spark.createDataFrame([], SCHEMA), spark.createDataFrame([("a", "x", 1)], SCHEMA)
+    assert _changes(none, one) == [("a", "x", 1, "inserted")]
+    assert _changes(one, none) == []
+    keys_only = one.select("k", "m")
+    assert [r["change"] for r in classify_changes(keys_only, keys_only, KEYS).collect()] == ["unchanged"]
+
+
+def test_an_upsert_reports_and_leaves_what_does_not_change(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    stored = [("a", "x", 1), ("b", "y", 2), ("c", "z", 3)]
+    write_table(spark.createDataFrame(stored, SCHEMA), name, evolve_schema=False, partition_by=["m"])
+
+    def files(part):
+        return {r[0] for r in read_table(spark, name).filter(F.col("m") == part).select("_metadata.file_path").distinct().collect()}
+
+    before = {part: files(part) for part in "xyz"}
+    source = spark.createDataFrame([("a", "x", 1), ("b", "y", 20), ("d", "y", 4)], SCHEMA)
+    assert upsert_table(source, name, KEYS) == {"inserted": 1, "updated": 1, "unchanged": 1}
+    assert files("x") == before["x"] and files("z") == before["z"] and not files("y") & before["y"]
+    after = files("y")
+    assert upsert_table(source, name, KEYS) == {"inserted": 0, "updated": 0, "unchanged": 3}
+    assert files("y") == after
+    assert _rows(read_table(spark, name).select("k", "m", "v")) == [("a", "x", 1), ("b", "y", 20), ("c", "z", 3), ("d", "y", 4)]

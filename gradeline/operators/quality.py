@@ -137,6 +137,11 @@ def _overflows(value: Column) -> Column:
     return (value < INT_MIN) | (value > INT_MAX)
 
 
+def overflows(raw: Column) -> Column:
+    """Whether a raw value is a number outside the int range."""
+    return _overflows(to_double(raw))
+
+
 def int_overflow_rows(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
     """Rows whose cleaned value is a number outside the int range."""
     shown = df.select(

@@ -1,5 +1,6 @@
 """Sources and sinks: CSV files and catalog tables."""
 
+from gradeline.sources.arrivals import arrival_status, digest_files
 from gradeline.sources.completeness import missing_sources
 from gradeline.sources.files import read_raw_csv, read_raw_csv_split
 from gradeline.sources.tables import (
@@ -18,6 +19,8 @@ __all__ = [
     "NotAViewError",
     "SchemaMismatchError",
     "append_table",
+    "arrival_status",
+    "digest_files",
     "drop_published",
     "missing_sources",
     "publish_table",

@@ -181,7 +181,33 @@ def oracle_queries() -> dict[str, str]:
     as_csv = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents"
     shown_silver = f"SELECT {plain_derived}, array_to_string(LOAN_TYPES, '|') AS LOAN_TYPES, 'train.csv' AS _SOURCE_FILE, 'kaggle' AS _SOURCE_SYSTEM"
     types = ", ".join(f"({i}, '{c}', 'string')" for i, c in enumerate(norm(c) for c in RAW_ORDER))
+    sentinel_rows = " UNION ALL ".join(
+        f"SELECT '{norm(c)}' AS column_name, trim({norm(c)}) AS sentinel, count(*) AS n FROM raw WHERE trim({norm(c)}) IN {SENTINELS} GROUP BY 2" for c in TEXTS)
+    rules = {"dq_customer_id_valid": "id_ok", "dq_age_valid": "age_ok", "dq_income_valid": "income_ok", "dq_credit_score_valid": "score_ok"}
+
+    def named(test: str) -> str:
+        return "concat_ws(',', " + ", ".join(f"CASE WHEN {test.format(c=c)} THEN '{name}' END" for name, c in rules.items()) + ")"
+
+    heavy = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM raw GROUP BY {c}" for c in all_raw)
+    silver_columns = [*all_raw, *DERIVED[:-1]]
+    numeric = {norm(c) for c in (*INTS, *DECIMALS)} | set(DERIVED[:-1])
     return {
+        "raw_audit": raw + f"""SELECT * FROM (
+            SELECT 'null' AS rule, column_name, CAST(NULL AS VARCHAR) AS value, n FROM ({per_column(all_raw, "{c} IS NULL", "n", "raw")})
+            UNION ALL SELECT 'malformed', column_name, NULL, malformed FROM ({malformed})
+            UNION ALL SELECT 'overflow', column_name, NULL, overflow_count FROM ({per_column([norm(c) for c in INTS], overflow, "overflow_count", "raw")})
+            UNION ALL SELECT 'sentinel', column_name, sentinel, n FROM ({sentinel_rows})) WHERE n > 0""",
+        "rule_combinations": checked + f"SELECT {named('NOT {c}')} AS failed_rules, {named('{c} IS NULL')} AS unknown_rules, count(*) AS n FROM checked GROUP BY 1, 2",
+        "heavy_raw_values": raw + f"SELECT column_name, value, n FROM ({heavy}) WHERE n >= greatest(1, ceil(0.02 * (SELECT count(*) FROM raw)))",
+        "merged_load_summary": silver + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, TRUE AS distinct_near, {c in numeric} AND count({c}) > 0 AS has_quantiles FROM silver"
+            for c in silver_columns),
+        "arrival_ledger": """WITH f AS (SELECT o_orderstatus || '.csv' AS source_file, count(*) AS n, count(*) FILTER (o_totalprice < 100000) AS fewer FROM orders GROUP BY 1)
+            SELECT 1 AS load, source_file, 'new' AS status, n AS row_count FROM f WHERE source_file IN ('F.csv', 'P.csv')
+            UNION ALL SELECT load, file, 'missing', 0 FROM (VALUES (1, 'O.csv'), (1, 'Z.csv'), (2, 'Z.csv')) v(load, file)
+            UNION ALL SELECT 2, source_file, CASE source_file WHEN 'F.csv' THEN 'repeated' WHEN 'O.csv' THEN 'late' ELSE 'changed' END,
+                CASE source_file WHEN 'P.csv' THEN fewer ELSE n END FROM f""",
         "csv_bronze_roundtrip": as_csv,
         "csv_split_read": as_csv,
         "table_scan": "SELECT * FROM orders",

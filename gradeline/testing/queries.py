@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from gradeline.functions import (
     month_num,
     parse_list,
 )
+from gradeline.operators.audits import audit, audit_conditions, outcome_histogram
 from gradeline.operators.cleaning import clean_columns, clean_silver, null_out_of_range
 from gradeline.operators.columns import normalize_columns
 from gradeline.operators.lists import (
@@ -42,6 +44,7 @@ from gradeline.operators.quality import (
     split,
     value_profile,
 )
+from gradeline.operators.summaries import heavy_values, load_summary, merged_summary
 from gradeline.operators.upsert import classify_changes, latest_per_key, upsert, upsert_table
 from gradeline.plans.credit import (
     BUSINESS_KEY,
@@ -59,6 +62,8 @@ from gradeline.plans.run import CreditRun
 from gradeline.session import configure_session
 from gradeline.sources import (
     SchemaMismatchError,
+    arrival_status,
+    digest_files,
     missing_sources,
     publish_table,
     read_raw_csv,
@@ -68,6 +73,7 @@ from gradeline.sources import (
     scratch_dir,
     write_table,
 )
+from gradeline.sources.arrivals import LEDGER
 from gradeline.testing.fixtures import credit_raw, read_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +82,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUSTOMER = "CUS_1"
 # Fixed value: the customer that rows without an id are given to.
 NEW_CUSTOMER = "CUS_NEW"
+HEAVY_SHARE = 0.02
 CHECKED_SAMPLE = ("ID", "CUSTOMER_ID", "AGE", "ANNUAL_INCOME", "CREDIT_SCORE")
 
 
@@ -385,6 +392,52 @@ def load_profile_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_profile(raw(spark, sf_dir))
 
 
+def raw_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = raw(spark, sf_dir)
+    return audit(df, audit_conditions(df, CREDIT_SPEC))
+
+
+def rule_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outcome_histogram(silver(spark, sf_dir), credit_rules())
+
+
+def heavy_raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heavy_values(raw(spark, sf_dir), HEAVY_SHARE)
+
+
+def merged_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of one load per order status, merged, and whether the estimates are near the exact values."""
+    orders = read_source(spark, sf_dir, "orders")
+    loads = [build_silver(credit_raw(spark, sf_dir, orders.filter(F.col("o_orderstatus") == s))) for s in ("F", "O", "P")]
+    columns = [c for c in loads[0].columns if c != "LOAN_TYPES"]
+    parts = [load_summary(df, str(i), columns) for i, df in enumerate(loads)]
+    merged = merged_summary(reduce(DataFrame.unionByName, parts), (0.5,))
+    whole = silver(spark, sf_dir)
+    counts = whole.agg(*[F.countDistinct(c).alias(c) for c in columns]).unpivot([], columns, "column_name", "exact")
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.greatest(F.lit(2), F.col("exact") * 0.04)
+    return merged.join(counts, "column_name").select(
+        "column_name", "row_count", "null_count", near.alias("distinct_near"), F.col("quantiles").isNotNull().alias("has_quantiles")
+    )
+
+
+def arrival_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of files by order status against a ledger: two files come again, one of them with fewer rows."""
+    orders = read_source(spark, sf_dir, "orders")
+
+    def load(*statuses: str) -> DataFrame:
+        part = orders.filter(F.col("o_orderstatus").isin(*statuses))
+        named = part.select("*", F.concat(F.col("o_orderstatus"), F.lit(".csv")).alias("_SOURCE_FILE"))
+        return digest_files(named)
+
+    expected = ["F.csv", "O.csv", "Z.csv"]
+    first = arrival_status(load("F", "P"), spark.createDataFrame([], LEDGER), expected)
+    fewer = orders.filter("o_orderstatus = 'P' AND o_totalprice < 100000").withColumn("_SOURCE_FILE", F.lit("P.csv"))
+    second = load("F", "O").unionByName(digest_files(fewer))
+    entries = arrival_status(second, first, expected)
+    numbered = first.withColumn("load", F.lit(1)).unionByName(entries.withColumn("load", F.lit(2)))
+    return numbered.select("load", "source_file", "status", "row_count")
+
+
 # --- composites ------------------------------------------------------------
 
 
@@ -515,6 +568,11 @@ REGISTER: dict[str, Query] = {
     "upsert_shuffled": _upsert("shuffled"),
     "upsert_into_table": upsert_into_table,
     "upsert_changes": upsert_changes,
+    "raw_audit": raw_audit,
+    "rule_combinations": rule_combinations,
+    "heavy_raw_values": heavy_raw_values,
+    "merged_load_summary": merged_load_summary,
+    "arrival_ledger": arrival_ledger,
     "silver_customers": silver_customers,
     "end_to_end_run": end_to_end_run,
     "gate_stops_publishing": gate_stops_publishing,

@@ -108,3 +108,26 @@ def test_layers_do_not_shuffle(spark, sf_dir):
     )
     plan = build_checked(build_silver(stored))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_a_failed_run_resumes_where_it_stopped(spark, raw, database, monkeypatch):
+    good = raw.filter("Customer_ID IS NOT NULL").limit(300).cache()
+    run = CreditRun(spark, database)
+    with monkeypatch.context() as patched:
+        patched.setattr(CreditRun, "check", lambda self: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            run.run({"train.csv": good}, resume=True)
+    silver = read_table(spark, run.table("silver_customers")).inputFiles()
+    again = CreditRun(spark, database)
+    assert again.run({"train.csv": good}, resume=True) == ["check", "publish"]
+    assert read_table(spark, run.table("silver_customers")).inputFiles() == silver
+    published = _count(spark, run.table("gold_customer_credit"))
+    assert published == _count(spark, run.table("valid_customers")) > 0
+    assert again.run({"train.csv": good}, resume=True) == []
+    # Other rows, the same rows in another order, other parameters, and a run without resuming.
+    assert again.run({"train.csv": good.orderBy(F.desc("ID"))}, resume=True) == []
+    assert again.run({"train.csv": good.filter("ID % 2 = 0")}, resume=True) == ["ingest", "refine", "check", "publish"]
+    assert again.run({"train.csv": good}, resume=True) == ["ingest", "refine", "check", "publish"]
+    assert CreditRun(spark, database, on_unknown="reject").run({"train.csv": good}, resume=True) == ["ingest", "refine", "check", "publish"]
+    assert len(again.run({"train.csv": good})) == 4
+    assert _count(spark, run.table("gold_customer_credit")) == published

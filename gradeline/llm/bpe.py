@@ -22,8 +22,9 @@ from pyspark.sql.types import StructType
 from gradeline.llm.chars import chunks
 from gradeline.llm.common import map_texts, quoted, to_batch
 
-CACHED_PIECES = 600_000
+CACHED_BYTES = 48 << 20  # of the remembered parts and ids, with what the objects take
 CACHED_LENGTH = 48
+_OBJECTS = 180  # bytes of a remembered part beside its text and ids
 CHUNK_CHARS = 1 << 22
 _BITS = 64
 _NONE = -1
@@ -93,17 +94,28 @@ class RankQueue:
         return rank, np.sort(found[0]) if len(found) == 1 else np.unique(np.concatenate(found))
 
 
+class Decoder:
+    """The bytes of ids; holds nothing but the tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = {rank: token for token, rank in ranks.items()}
+
+    def decode(self, packed: bytes) -> bytes:
+        tokens = self.tokens
+        return b"".join([tokens[i] for i in memoryview(packed).cast("I")])
+
+
 class Encoder:
-    """Encodes and decodes with one vocabulary; ``pattern`` cuts a text into pre-tokens."""
+    """Encodes with one vocabulary; ``pattern`` cuts a text into pre-tokens."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.bytes = np.array([ranks.get(bytes([i]), _NONE) for i in range(256)], dtype=np.int64)
         self.pairs, self.merged = self._pairs(ranks)
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
 
     @staticmethod
     def _pairs(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +225,9 @@ class Encoder:
         for chunk in chunks(texts, CHUNK_CHARS):
             cut = [parts(text) if parts else [text] for text in texts[chunk]]
             heads = [text.pop(0) for text in cut]
-            if len(self.cache) >= CACHED_PIECES:
+            if self.cached >= CACHED_BYTES:
                 self.cache.clear()
+                self.cached = 0
             first = list(set(heads))
             new = list(set().union(*cut).difference(self.cache))
             packed = self._packed(first + [" " + part for part in new])
@@ -225,12 +238,10 @@ class Encoder:
             for part in new:
                 if len(part) > CACHED_LENGTH:
                     del self.cache[part]
+                else:
+                    self.cached += _OBJECTS + len(part) + len(self.cache[part])
         return out
 
-    def decode(self, packed: bytes) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in memoryview(packed).cast("I")])
-
 
 def _before(ranks: np.ndarray, rank: int) -> bool:
     return bool(((ranks != _NONE) & (ranks <= rank)).any())
@@ -270,10 +281,12 @@ def encode_texts(
     pattern: str,
     text_col: str = "text",
     keep: list[str] | None = None,
+    decode: bool = False,
 ) -> DataFrame:
     """Each row with ``ids`` (binary: little-endian unsigned 32-bit integers) and ``n_tokens``.
 
-    A null or empty text has no ids. Rows are independent; an empty table gives an empty
+    With ``decode`` also ``decoded`` (binary), the bytes that the ids stand for, in the same pass, so
+    that a core has one Python worker and not two. A null or empty text has no ids. Rows are independent; an empty table gives an empty
     result; an input column of a result's name is replaced. A very long text, or a text
     that is one very long pre-token, is encoded whole. The vocabulary, of a fixed size, is
     read once by the driver and sent to the executors. Nothing is shuffled.
@@ -281,15 +294,17 @@ def encode_texts(
     vocabulary = _vocabulary(df.sparkSession, ranks_path)
 
     def make():
-        encoder = Encoder(load_ranks(vocabulary.value), pattern)
+        ranks = load_ranks(vocabulary.value)
+        encoder, decoder = Encoder(ranks, pattern), Decoder(ranks)
 
         def work(texts):
             ids = encoder.encode([text or "" for text in texts], words_apart)
-            return [len(packed) // 4 for packed in ids], ids
+            counts = [len(packed) // 4 for packed in ids]
+            return (counts, ids, [decoder.decode(packed) for packed in ids]) if decode else (counts, ids)
 
         return work
 
-    return map_texts(df, text_col, "n_tokens bigint, ids binary", make, keep)
+    return map_texts(df, text_col, "n_tokens bigint, ids binary" + ", decoded binary" * decode, make, keep)
 
 
 def decode_ids(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -297,16 +312,17 @@ def decode_ids(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFram
     vocabulary = _vocabulary(df.sparkSession, ranks_path)
     added = StructType.fromDDL("decoded binary")
     kept = [c for c in df.columns if c.lower() != "decoded"]
-    selected = df.select(*[quoted(c) for c in kept])
+    selected = df.select(*[quoted(c).alias(f"__{i}") for i, c in enumerate(kept)])
+    schema = StructType(selected.schema.fields + added.fields)
     at = kept.index(ids_col)
 
     def run(batches):
-        encoder = Encoder(load_ranks(vocabulary.value), "")
+        decoder = Decoder(load_ranks(vocabulary.value))
         for batch in batches:
-            decoded = to_batch(added, [[encoder.decode(x or b"") for x in batch.column(at).to_pylist()]])
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded.column(0)], names=[*kept, "decoded"])
+            decoded = to_batch(added, [[decoder.decode(x or b"") for x in batch.column(at).to_pylist()]])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded.column(0)], names=schema.names)
 
-    return selected.mapInArrow(run, StructType(selected.schema.fields + added.fields))
+    return selected.mapInArrow(run, schema).toDF(*kept, "decoded")
 
 
 def _vocabulary(spark: SparkSession, path: str):

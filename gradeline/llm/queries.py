@@ -82,8 +82,7 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.encode_texts(documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep=["doc_id"])
-    return bpe_digests(bpe.decode_ids(encoded, path))
+    return bpe_digests(bpe.encode_texts(documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep=["doc_id"], decode=True))
 
 
 def bpe_digests(decoded: DataFrame) -> DataFrame:

@@ -71,7 +71,10 @@ def map_texts(
     added = StructType.fromDDL(results)
     taken = {name.lower() for name in added.names}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
-    selected = df.select(*[quoted(c) for c in kept], quoted(text_col).cast("string").alias(_TEXT))
+    # Columns go by their places meanwhile, for a name may hold a dot or a backtick, or be of a result.
+    inner = [f"__{i}" for i in range(len(kept))]
+    carried = [quoted(c).alias(place) for c, place in zip(kept, inner, strict=True)]
+    selected = df.select(*carried, quoted(text_col).cast("string").alias(_TEXT))
     schema = StructType(selected.schema.fields[:-1] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,9 +83,9 @@ def map_texts(
             results = to_batch(added, work(batch.column(len(kept)).to_pylist()))
             arrays = [batch.column(i) for i in range(len(kept))]
             arrays += [results.column(i) for i in range(len(added))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *added.names])
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return selected.mapInArrow(run, schema)
+    return selected.mapInArrow(run, schema).toDF(*kept, *added.names)
 
 
 class Stored:

@@ -189,16 +189,18 @@ def remove_repeats(
     input columns to carry; one with the name of a result is replaced.
 
     A row is known by the hashes of id and text. The texts are shuffled once by these, however
-    hot a text is. Anchors take about two rows for ``least_words - SEED_WORDS`` words.
+    hot a text is; the stretches of equal rows are gathered once and not for every copy. Anchors take about two rows for ``least_words - SEED_WORDS`` words.
     """
     results = StructType.fromDDL(
         "n_words bigint, n_removed bigint, repeat_starts array<int>, repeat_ends array<int>, kept_text string"
     )
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in results.names]
-    rows = df.select(*row_key(id_col, text_col), quoted(text_col).alias("text"), F.struct(*map(quoted, kept)).alias("row"))
+    inner = [f"__{i}" for i in range(len(kept))]
+    carried = [quoted(c).alias(place) for c, place in zip(kept, inner, strict=True)]
+    rows = df.select(*row_key(id_col, text_col), quoted(text_col).alias("text"), *carried)
     narrow = rows.select(*KEY, "text")
-    spans = repeated_windows(narrow, least_words).groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    joined = rows.join(spans, KEY, "left").select(*[F.col("row").getField(c).alias(c) for c in kept], "text", "spans")
+    spans = repeated_windows(narrow, least_words).groupBy(*KEY).agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    joined = rows.join(spans, KEY, "left").select(*inner, "text", "spans")
     schema = StructType(joined.schema.fields[: len(kept)] + results.fields)
     # The text's own column comes after the kept ones, under its place rather than its name.
     at = len(kept)
@@ -210,6 +212,6 @@ def remove_repeats(
             n_removed = [sum(m[2]) - sum(m[1]) for m in made]
             columns = [[m[0] for m in made], n_removed, *[[m[i] for m in made] for i in (1, 2, 3)]]
             added = to_batch(results, columns)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *added.columns], names=[*kept, *results.names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *added.columns], names=schema.names)
 
-    return joined.toDF(*kept, "__text", "__spans").mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*kept, *results.names)

@@ -149,24 +149,30 @@ def decontaminate(
     text, each of which is sent to all tasks, and the blocks are searched one after another in
     one pass over the texts, so neither the driver nor a task holds more than a block at a time.
     """
-    items = benchmark.select(quoted(item_col).cast("string").alias("id"), quoted(item_text_col).alias("text"))
+    kind = benchmark.schema[item_col].dataType.simpleString()
+    items = benchmark.select(quoted(item_col).alias("id"), quoted(item_text_col).cast("string").alias("text"))
     items = items.filter("id IS NOT NULL AND text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
+    block = F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(blocks))
     names = ["coverage", "item", "tile_starts", "tile_lengths"]
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in (*names, "contaminated")]
-    best = df.select(*map(quoted, kept), quoted(text_col).alias("__searched"))
+    inner = [f"k{i}" for i in range(len(kept))]
+    carried = [quoted(c).alias(place) for c, place in zip(kept, inner, strict=True)]
+    best = df.select(*carried, quoted(text_col).alias("__searched"))
     for number in range(blocks):
         rows = items.filter(block == number).orderBy("id", "text").collect()
         index = ItemIndex.of([r["id"] for r in rows], [r["text"] for r in rows], least_tile)
-        best = _with_best(best, df.sparkSession.sparkContext.broadcast(index), least_tile, kept)
+        best = _with_best(best, df.sparkSession.sparkContext.broadcast(index), least_tile, inner, kind)
     flag = F.col("coverage") >= least_coverage
-    return best.select(*map(quoted, kept), *names, flag.alias("contaminated"))
+    return best.select(*inner, *names, flag.alias("contaminated")).toDF(*kept, *names, "contaminated")
 
 
-def _with_best(df: DataFrame, sent, least: int, kept: list[str]) -> DataFrame:
-    """Search one block, and keep what an earlier block found if it covers more."""
+def _with_best(df: DataFrame, sent, least: int, kept: list[str], kind: str) -> DataFrame:
+    """Search one block, and keep what an earlier block found if it covers more.
+
+    Ids of equal coverage are compared in their own type, ``kind``.
+    """
 
     def make():
         matcher = Matcher(sent.value, least)
@@ -176,7 +182,7 @@ def _with_best(df: DataFrame, sent, least: int, kept: list[str]) -> DataFrame:
             ids = matcher.index.ids
             return (
                 [f[0] for f in found],
-                [None if f[1] is None else ids[f[1]] for f in found],
+                [None if f[1] is None else str(ids[f[1]]) for f in found],
                 [sorted(t[0] for t in f[2]) for f in found],
                 [[t[2] for t in sorted(f[2])] for f in found],
             )
@@ -189,7 +195,7 @@ def _with_best(df: DataFrame, sent, least: int, kept: list[str]) -> DataFrame:
     new = {"coverage": "__c", "item": "__i", "tile_starts": "__s", "tile_lengths": "__l"}
     if "coverage" in df.columns:
         better = (F.col("__c") > F.col("coverage")) | (
-            (F.col("__c") == F.col("coverage")) & (F.col("__i") < F.col("item"))
+            (F.col("__c") == F.col("coverage")) & (F.col("__i").cast(kind) < F.col("item").cast(kind))
         )
         columns = [F.when(better, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in new.items()]
     else:

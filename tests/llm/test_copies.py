@@ -7,10 +7,12 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from gradeline.llm import jaccard, lines, neighbours, repeats, tiling
+from gradeline.llm import bpe, jaccard, lines, neighbours, repeats, secrets, tiling
+from gradeline.llm.common import row_key
 from gradeline.llm.graph import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -268,3 +270,34 @@ def test_few_neighbours_and_none(spark):
     rows = neighbours.nearest(df, F.col("vec_id") % 20 == 0).collect()
     assert [tuple(r) for r in rows] == [(0, 1, 1, 0.5)]
     assert neighbours.nearest(df.filter("false"), F.lit(True)).count() == 0
+
+
+def test_names_of_columns_do_not_matter(spark):
+    """Columns with a dot, a backtick, or the names that the operators use inside come through as they were."""
+    text = " ".join(f"word{i}" for i in range(60))
+    names = ["a.b", "`a`b", "__c", "__i", "__searched", "__text", "__0", "k0", "text", "doc_id"]
+    rows = [(1, 2, 3, 4, 5, 6, 7, 8, text, 9), (11, 12, 13, 14, 15, 16, 17, 18, text, 19)]
+    df = spark.createDataFrame(rows, "a long, b long, c long, d long, e long, f long, g long, h long, t string, i long").toDF(*names)
+    items = spark.createDataFrame([(10, text), (9, text)], "item_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode_texts(df, path, public_tokenizers.PATTERN)
+    for result in (
+        repeats.remove_repeats(df),
+        tiling.decontaminate(df, items),
+        secrets.find_secrets(df),
+        encoded,
+        bpe.decode_ids(encoded, path),
+    ):
+        assert result.columns[: len(names)] == names
+        got = sorted(tuple(r)[: len(names)] for r in result.collect())
+        assert got == rows
+    assert {r["item"] for r in tiling.decontaminate(df, items).collect()} == {"9"}  # ids are compared as numbers
+
+
+def test_spans_of_many_copies_of_a_row_are_gathered_once(spark):
+    text = " ".join(f"w{i}" for i in range(120))
+    df = spark.range(500).select(F.lit(1).alias("doc_id"), F.lit(text).alias("text"))
+    narrow = df.select(*row_key("doc_id", "text"), "text")
+    spans = repeats.repeated_windows(narrow).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    assert len(spans.first()["spans"]) <= 120
+    assert {r["n_removed"] for r in repeats.remove_repeats(df).collect()} == {120}

@@ -27,6 +27,7 @@ ARROW_TYPES = {
     "array<double>": pa.list_(pa.float64()),
 }
 _TEXT = "__text"
+ROWS_AT_ONCE = 1000  # texts of a batch that are worked on together, which bounds what a worker holds
 
 Texts = list[str | None]
 Work = Callable[[Texts], Sequence[Sequence]]
@@ -79,7 +80,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS_AT_ONCE) for whole in batches for i in range(0, whole.num_rows, ROWS_AT_ONCE)):
             results = to_batch(added, work(batch.column(len(kept)).to_pylist()))
             arrays = [batch.column(i) for i in range(len(kept))]
             arrays += [results.column(i) for i in range(len(added))]

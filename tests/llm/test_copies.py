@@ -240,10 +240,10 @@ def test_keys_of_short_and_of_long_lines(spark):
         if len(t) >= 120:
             top = 1 << (len(t) // 15).bit_length() - 1
             for b in (top, top // 2) if len(t) / 15 < 1.25 * top else (top,):
-                for c in range(min(b, 16)):
+                for c in range(min(b, 32)):
                     some = [hashes[w] for w in set(each) if len(w) >= 4 and hashes[w] % b == c]
                     bits = tuple(2 * sum(h >> p + s & 1 for h in some) >= len(some) for p in (8, 9, 10, 11) for s in range(0, 56, 8))
-                    want |= {(b, c, bits)} if len(some) > 1 else set()
+                    want |= {(b, c, bits)} if len(some) >= (2 if b < 32 else 3) else set()
         assert len(got[i]) == len(set(got[i])) == len(want)
 
 

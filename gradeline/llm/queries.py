@@ -51,7 +51,7 @@ def _digests(df: DataFrame, base: tuple[str, ...]) -> list[Column]:
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    found = secrets.find_secrets(docs, keep=["doc_id"], words=secrets.corpus_words(docs))
+    found = secrets.find_secrets(docs, keep=["doc_id"], words=secrets.word_ranks(docs))
     return found.select("doc_id", *_digests(found, ("assign", "access", "hex")))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -86,13 +87,90 @@ def test_clean_prose_is_no_secret_by_the_words_of_the_corpus(spark):
     hard = ["the secret is kR9#tq!Zw2pL"] + ["the passphrase is xkqvzjwmbt"] * 3
     hard += [f"copy {i}: the passphrase is xkqvzjwmbt" for i in range(3)]
     docs = spark.createDataFrame(list(enumerate([*prose, *hard, None, ""])), "doc_id long, text string")
-    words = secrets.corpus_words(docs)
-    assert {"simple", "incorrect", "required", "expired"} <= set(words) and "xkqvzjwmbt" not in words
-    assert words["password"] == 1 and sorted(words.values()) == list(range(1, len(words) + 1))
+    words = secrets.word_ranks(docs)
+    ranks = {r["word"]: r["rank"] for r in words.collect()}
+    assert {"simple", "incorrect", "required", "expired"} <= set(ranks) and "xkqvzjwmbt" not in ranks
+    common = secrets.ranked(secrets.COMMON_WORDS)
+    assert {w: r for w, r in ranks.items() if w in common} == common
+    assert ranks["required"] < ranks["expired"]  # in three and two texts, values left out
+    for word in set(ranks) - set(common):  # one more than the words of lower rank
+        assert ranks[word] == 1 + sum(r < ranks[word] for r in ranks.values())
     rows = secrets.find_secrets(docs, words=words).collect()
     found = {r["text"] for r in rows if r["kinds"]}
     assert found == set(hard)
-    assert len(secrets.corpus_words(docs.filter("false"))) == len(set(secrets.COMMON_WORDS))
+    assert secrets.word_ranks(docs.filter("false")).count() == len(set(secrets.COMMON_WORDS))
+
+
+def _all_cuts(value, words):
+    """The least cost over every way to cut a value, each segment priced on its own."""
+    plain, unleet = value.lower(), value.lower().translate(secrets.LEET)
+
+    def prices(i, j):
+        yield secrets._brute(value[i]) if j == i + 1 else math.inf
+        upper = float(value[i:j] != plain[i:j])
+        yield math.log10(words[plain[i:j]]) + 0.5 + upper if plain[i:j] in words else math.inf
+        yield math.log10(words[unleet[i:j]]) + 1.5 + upper if unleet[i:j] in words else math.inf
+        yield secrets.DATE_GUESSES if secrets.DATE.fullmatch(plain[i:j]) else math.inf
+        steps = [pair in secrets._NEXT for pair in zip(plain[i:j], plain[i + 1 : j])]
+        yield math.log10(47) + len(steps) * math.log10(2) if len(steps) >= 2 and all(steps) else math.inf
+        yield secrets.REPEAT_GUESSES if 2 * i >= j and value[2 * i - j : i] == value[i:j] else math.inf
+
+    n = len(value)
+    price = {(i, j): min(prices(i, j)) for i in range(n) for j in range(i + 1, n + 1)}
+    cuts = (
+        [0, *[k for k in range(1, n) if chosen >> k & 1], n] for chosen in range(0, 1 << n, 2)
+    )
+    return min(sum(price[a, b] for a, b in zip(cut, cut[1:])) for cut in cuts)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_cost_is_the_least_over_all_cuts(seed):
+    choose = random.Random(seed)
+    words = secrets.ranked(["abc", "cab", "pass", "ass", "bcab", "spa"])
+    letters = ["ab", "abcC", "019-./", "qwePas$4", "0129", "aab1"][seed]
+    for _ in range(60):
+        value = "".join(choose.choices(letters, k=choose.randint(1, 10)))
+        assert secrets.guess_cost(value, words) == pytest.approx(_all_cuts(value, words)), value
+
+
+def test_dates_and_repeats_are_found_wherever_they_are():
+    cost = secrets.guess_cost
+    assert cost("20191999-12-31") < 4 + secrets.DATE_GUESSES + 0.01
+    unit = "x7#kQ9!mZe"
+    assert cost(unit * 3) == pytest.approx(cost(unit) + 2 * secrets.REPEAT_GUESSES)
+    assert cost("a" * 1024) == pytest.approx(cost("a") + 10 * secrets.REPEAT_GUESSES)
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abc", "aaab"])
+def test_periodic_stretches_are_all_found(letters):
+    choose = random.Random(letters)
+    for _ in range(150):
+        value = "".join(choose.choices(letters, k=choose.randint(0, 24)))
+        n, wanted = len(value), {}
+        for p in range(1, n // 2 + 1):
+            for s in range(n):
+                e = s + p
+                while e < n and value[e] == value[e - p]:
+                    e += 1
+                if e - s >= 2 * p and (s == 0 or s + p - 1 >= n or value[s - 1] != value[s + p - 1]):
+                    wanted.setdefault((s, e), p)
+        assert sorted(secrets.periodic_stretches(value)) == sorted((s, e, p) for (s, e), p in wanted.items())
+
+
+def test_the_join_judges_values_as_the_scan_does(spark):
+    """Words come to the values by a join of their pieces; long words and values of many texts too."""
+    words = ["correct", "horse", "battery", "pneumonoultramicroscopicsilicovolcanoconiosis", "straße"]
+    values = ["correcthorsebattery", "C0rrectHor5e", words[3], words[3] + "9", "straßehorse", "x9$kQ!z0Lm", "zxcvbnm1999"]
+    texts = [f"doc {i} login is {value} here, pwd=> {value}" for value in values for i in range(3)] + ["login is " + values[0]] * 40
+    docs = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id long, text string")
+    rows = secrets.find_secrets(docs, words=words).collect()
+    assert len(rows) == docs.count()
+    ranks = secrets.ranked(words)
+    for row in rows:
+        spans = secrets.scan(row["text"], ranks) if row["text"] else []
+        assert list(zip(row["starts"], row["ends"], row["kinds"])) == spans
+        assert row["guesses"] == [secrets.guess_cost(row["text"][s:e], ranks) for s, e, _ in spans]
+    assert {row["text"].split()[4] for row in rows if row["kinds"] and row["text"].startswith("doc")} == {"x9$kQ!z0Lm"}
 
 
 def test_frames(spark, odd_docs, no_docs):

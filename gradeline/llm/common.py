@@ -89,13 +89,25 @@ def map_texts(
     return selected.mapInArrow(run, schema).toDF(*kept, *added.names)
 
 
+#: Removes the shuffle files of a query when it ends. Nothing reads them after a table is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Stored:
-    """A table written once to the shared folder, which also cuts the lineage."""
+    """A table written once to the shared folder, which also cuts the lineage.
+
+    The shuffle files of the write go when it ends, not when the driver next collects its garbage.
+    """
 
     def __init__(self, df: DataFrame):
         spark = df.sparkSession
         self.path = f"{scratch_dir(spark)}/llm-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        before = spark.conf.get(CLEANUP)
+        spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(self.path)
+        finally:
+            spark.conf.set(CLEANUP, before)
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:

@@ -215,10 +215,10 @@ def test_lines_that_the_first_does_not_connect_are_linked(spark, monkeypatch):
     found = spark.createDataFrame(places, "h1 long, h2 long, no_id boolean, id long, k1 long, k2 long, line_no int")
     found = found.select("h1", "h2", F.struct("no_id", "id", "k1", "k2", "line_no").alias("at"))
     keys = spark.createDataFrame([(i, 10, len(t), 7) for i, t in enumerate(texts)], "h1 long, h2 long, length int, key long")
-    root = {r["node"]: r["root"] for r in lines.line_groups(found, keys, rows, 0.8).collect()}
+    root = {bytes(r["node"]): r["root"] for r in lines.line_groups(found, keys, rows, 0.8).collect()}
     groups = defaultdict(set)
     for node, r in root.items():
-        groups[r].add(int(node.split("-")[0], 16))
+        groups[bytes(r)].add(int.from_bytes(node[:8]))
     assert sorted(map(sorted, groups.values())) == [[1, 2, 3], [4, 5]]
 
 

@@ -222,6 +222,35 @@ def test_lines_that_the_first_does_not_connect_are_linked(spark, monkeypatch):
     assert sorted(map(sorted, groups.values())) == [[1, 2, 3], [4, 5]]
 
 
+def test_lines_are_linked_by_any_key_however_many_are_rarer(spark):
+    """Two like lines share their commonest key only, and each has 20 rarer ones that it shares with unlike lines."""
+    texts = ["a" * 100, "a" * 95 + "b" * 5, *(c * 100 for c in "cdefghijkl")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = docs.withColumn("no_id", F.lit(False)).withColumn("k1", F.col("id")).withColumn("k2", F.col("id"))
+    places = [(i, 10, False, i, i, i, 0) for i in range(len(texts))]
+    found = spark.createDataFrame(places, "h1 long, h2 long, no_id boolean, id long, k1 long, k2 long, line_no int")
+    found = found.select("h1", "h2", F.struct("no_id", "id", "k1", "k2", "line_no").alias("at"))
+    held = [(i, 7) for i in range(len(texts))] + [(i, 100 * (i + 1) + k) for i in (0, 1) for k in range(20)]
+    held += [(2 + k % 10, 100 * (i + 1) + k) for i in (0, 1) for k in range(20)]
+    keys = spark.createDataFrame([(i, 10, 100, k) for i, k in held], "h1 long, h2 long, length int, key long")
+    root = {int.from_bytes(r["node"][:8]): r["root"] for r in lines.line_groups(found, keys, rows, 0.8).collect()}
+    assert set(root) == {0, 1} and root[0] == root[1]
+
+
+def test_passes_over_the_texts_find_the_same_links(spark, monkeypatch):
+    texts = [("a" * 60 + chr(98 + i) * 40, chr(98 + i)) for i in range(4)]
+    texts = [t[:k] + "z" * (len(t) - k) for t, _ in texts for k in (100, 95, 70)]
+    named = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts)], "name binary, norm string")
+    pairs = [(bytes([i]), bytes([k]), 100, 100) for i, k in combinations(range(len(texts)), 2)] * 2
+    pairs = spark.createDataFrame(pairs, "a binary, b binary, length_a int, length_b int")
+    want = {(i, k) for i, k in combinations(range(len(texts)), 2) if _distance(texts[i], texts[k]) <= 20}
+    for share in (100.0, 2.0):
+        monkeypatch.setattr(lines, "AT_ONCE", share)
+        links = lines._verified(pairs, named, 0.8)
+        assert len(links) == (1 if share > 11 else 6)
+        assert sorted((r["a"][0], r["b"][0]) for link in links for r in link.df.collect()) == sorted(want)
+
+
 def test_keys_of_short_and_of_long_lines(spark):
     make = random.Random(9)
     texts = ["one", "so it", "a bc d", "four words stand here", *(" ".join(f"w{make.randrange(500):04}" for _ in range(k)) for k in (19, 24, 30, 33, 41, 300, 3000))]

@@ -73,6 +73,18 @@ def propose_ranges(summaries: DataFrame, tail: float = 0.01) -> DataFrame:
     return merged.select("column_name", F.col("quantiles")[0].alias("low"), F.col("quantiles")[1].alias("high"))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``column_name, n``: the exact number of distinct values, as text, of each column that has any.
+
+    Each value is one narrow row of its column's place and its text, where distinct counts of many columns
+    in one aggregate hold a row of all columns for each value of each.
+    """
+    names = list(columns or df.columns)
+    each = [F.struct(F.lit(i).alias("place"), F.col(name).cast("string").alias("value")) for i, name in enumerate(names)]
+    values = df.select(F.inline(F.array(*each))).filter("value IS NOT NULL").distinct()
+    return values.groupBy("place").agg(F.count("*").alias("n")).select(F.get(F.array(*map(F.lit, names)), "place").alias("column_name"), "n")
+
+
 def heavy_values(df: DataFrame, share: float, columns: Sequence[str] | None = None) -> DataFrame:
     """``column_name, value, n``: the values, as text, that at least ``share`` of the rows hold; NULL is one.
 

@@ -44,7 +44,7 @@ from gradeline.operators.quality import (
     split,
     value_profile,
 )
-from gradeline.operators.summaries import heavy_values, load_summary, merged_summary
+from gradeline.operators.summaries import distinct_counts, heavy_values, load_summary, merged_summary
 from gradeline.operators.upsert import classify_changes, latest_per_key, upsert, upsert_table
 from gradeline.plans.credit import (
     BUSINESS_KEY,
@@ -413,9 +413,9 @@ def merged_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [load_summary(df, str(i), columns) for i, df in enumerate(loads)]
     merged = merged_summary(reduce(DataFrame.unionByName, parts), (0.5,))
     whole = silver(spark, sf_dir)
-    counts = whole.agg(*[F.countDistinct(c).alias(c) for c in columns]).unpivot([], columns, "column_name", "exact")
-    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.greatest(F.lit(2), F.col("exact") * 0.04)
-    return merged.join(counts, "column_name").select(
+    exact = F.coalesce("n", F.lit(0))
+    near = F.abs(F.col("distinct_estimate") - exact) <= F.greatest(F.lit(2), exact * 0.04)
+    return merged.join(distinct_counts(whole, columns), "column_name", "left").select(
         "column_name", "row_count", "null_count", near.alias("distinct_near"), F.col("quantiles").isNotNull().alias("has_quantiles")
     )
 

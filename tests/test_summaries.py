@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gradeline.operators.summaries import heavy_values, load_summary, merged_summary, propose_ranges
+from gradeline.operators.summaries import distinct_counts, heavy_values, load_summary, merged_summary, propose_ranges
+from gradeline.testing.queries import merged_load_summary
 
 
 def _two_loads(spark):
@@ -53,6 +54,17 @@ def test_a_summary_is_one_scan(spark, tmp_path):
     assert plan.count("FileScan") == 1 and "partial_hll_sketch_agg" in plan
 
 
+def test_distinct_counts_are_exact_and_narrow(spark, sf_dir):
+    """As many as one aggregate of all columns counts, without the rows of all columns that it makes of each row."""
+    df, _ = _two_loads(spark)
+    got = distinct_counts(df)
+    assert {tuple(r) for r in got.collect()} == {("number", 60_000), ("text", 700), ("some", 7)}
+    assert {tuple(r) for r in distinct_counts(df, ["some"]).collect()} == {("some", 7)}
+    assert distinct_counts(df.filter("false")).count() == 0
+    plan = merged_load_summary(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
 @pytest.mark.parametrize("share", [0.5, 0.1, 0.01])
 def test_heavy_values_are_exactly_those_of_the_share(spark, share):
     """A column of unique values with some heavy ones, one with NULLs, and one on the border."""

@@ -380,3 +380,51 @@ def test_spans_of_many_copies_of_a_row_are_gathered_once(spark):
     spans = repeats.repeated_windows(narrow).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
     assert len(spans.first()["spans"]) <= 120
     assert {r["n_removed"] for r in repeats.remove_repeats(df).collect()} == {120}
+
+
+def test_groups_above_and_below_a_tile_are_paired(spark, monkeypatch):
+    """One key of two large groups and some lines alone; two of these and a line of each large group are like."""
+    from gradeline.llm.common import Stored
+
+    monkeypatch.setattr(lines, "TILE", 3)
+    names = [bytes([i]) for i in range(16)]
+    roots = [0] * 5 + [5] * 6 + list(range(11, 16))
+    texts = {i: None for i in range(16)}
+    rows = [(7, n, None, True, 40, None, None, None) for n in names]
+    columns = "key long, a binary, b binary, possible boolean, length_a int, n_words_a int, words_a array<long>, grams_a array<long>"
+    others = spark.createDataFrame(rows, columns)
+    groups = spark.createDataFrame([(names[i], names[r]) for i, r in enumerate(roots) if i < 11], "node binary, root binary")
+    found, stored = lines._pairs_of_the_rest(others, groups, 0.8)
+    got = Counter(tuple(sorted((r["a"][0], r["b"][0]))) for r in found.collect())
+    stored.drop()
+    assert got == Counter((i, k) for i, k in combinations(texts, 2) if roots[i] != roots[k])
+
+
+def test_marks_never_rule_out_a_link(spark):
+    """Lines with up to a fifth of their characters changed stay possible, and unlike lines mostly do not."""
+    make = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    pairs = []
+    for _ in range(120):
+        a = " ".join("".join(make.choices(letters[:26], k=make.randrange(1, 9))) for _ in range(make.choice((2, 8, 22, 24, 26, 60, 150))))
+        b = list(a)
+        for _ in range(make.randrange(len(a) // 5 + 1)):
+            b[make.randrange(len(b))] = make.choice(letters)
+        pairs.append((a, " ".join("".join(b).split())))
+    pairs += [(a, b) for (a, _), (b, _) in combinations(pairs, 2) if 0.8 <= len(a) / max(1, len(b)) <= 1.25]
+    kinds = sorted({t for pair in pairs for t in pair} - {""})
+    place = {t: i for i, t in enumerate(kinds)}
+    texts = spark.createDataFrame([(i, 0, t) for i, t in enumerate(kinds)], "h1 long, h2 long, norm string")
+    sides = texts.join(lines._marked(texts.unionByName(texts)), ["h1", "h2"], "left").withColumn("length", F.length("norm"))
+    assert sides.count() == len(kinds)
+    one, two = (sides.select(*[F.col(c).alias(f"{c}_{s}") for c in ("h1", "norm", *lines.WITH_LENGTH)]) for s in "ab")
+    pairs = spark.createDataFrame([(place[a], place[b]) for a, b in pairs if a and b], "h1_a long, h1_b long")
+    met = pairs.join(one, "h1_a").join(two, "h1_b")
+    norm_a, norm_b = F.col("norm_a"), F.col("norm_b")
+    like = F.coalesce(lines._share_words(norm_a, norm_b) & lines.edit_similar(norm_a, norm_b, 0.8), F.lit(False))
+    plain = F.levenshtein(norm_a, norm_b) <= F.floor(F.greatest("length_a", "length_b") * 0.2 + 1e-9)
+    got = met.select(like.alias("like"), (plain & lines._share_words(norm_a, norm_b)).alias("plain"), F.coalesce(lines._possible(0.8), F.lit(False)).alias("possible")).collect()
+    assert sum(r["like"] for r in got) > 60
+    assert all(r["like"] == r["plain"] for r in got)
+    assert all(r["possible"] for r in got if r["like"])
+    assert sum(r["possible"] for r in got) < 0.2 * len(got)

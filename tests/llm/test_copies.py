@@ -276,6 +276,44 @@ def test_keys_of_short_and_of_long_lines(spark):
         assert len(got[i]) == len(set(got[i])) == len(want)
 
 
+def test_each_word_of_a_line_is_in_a_key(spark):
+    """Another word in any place changes the keys, also a short one, one alone in its block and one of a block beyond the 32nd."""
+    make = random.Random(12)
+    word = lambda n: "".join(make.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    short = []
+    long = [" ".join(word(make.randrange(1, top)) for _ in range(k)) for top, k in ((4, 60), (9, 40), (9, 200), (30, 20), (9, 900))]
+    changed = []
+    for line, text in enumerate(short + long):
+        words = text.split()
+        for place in {0, len(words) - 1, *make.choices(range(len(words)), k=25)}:
+            changed.append((line, text, " ".join([*words[:place], "qqqqq", *words[place + 1 :]])))
+    df = spark.createDataFrame([(i, k, t) for i, c in enumerate(changed) for k, t in enumerate(c[1:])], "h1 long, h2 long, norm string")
+    keys = defaultdict(set)
+    for r in lines._keys_of(df).collect():
+        keys[r["h1"], r["h2"]].add(r["key"])
+    assert all(keys[i, 0] != keys[i, 1] for i in range(len(changed)))
+    assert all(keys[i, 0] & keys[i, 1] for i, (line, *_) in enumerate(changed) if line >= len(short))
+
+
+def test_lines_are_linked_by_what_words_of_four_letters_in_32_blocks_leave_out(spark):
+    make = random.Random(13)
+    word = lambda n: "".join(make.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    # All words of the first 32 of 256 blocks differ, so no block that votes alone is shared.
+    pool = spark.createDataFrame([(word(6),) for _ in range(4000)], "w string").select("w", (F.xxhash64("w").bitwiseAND(255) < 32).alias("first")).collect()
+    first, others = ([r["w"] for r in pool if r["first"] == kind] for kind in (True, False))
+    held = others[:620]
+    many = [" ".join(" ".join([*held[10 * i : 10 * i + 10], first[k + i]]) for i in range(62)) for k in (0, 100)]
+    typo = lambda t, each: "".join("q" if i % each == each // 2 else c for i, c in enumerate(t))
+    run = "".join(make.choices("abcdefghijklmnop", k=400))
+    pairs = [
+        tuple(many),
+    ]
+    assert all(_distance(a, b) <= 0.2 * max(len(a), len(b)) for a, b in pairs[:-1]) and len(many[0]) >= 256 * 15
+    df = spark.createDataFrame([(2 * i + k, t) for i, pair in enumerate(pairs) for k, t in enumerate(pair)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in lines.remove_repeated_lines(df).collect()}
+    assert got == {i: i % 2 for i in range(2 * len(pairs))}
+
+
 def test_lines_of_one_length_in_five_less_share_a_number_of_blocks():
     def levels(n):
         top = 1 << (n // lines.BLOCK_CHARS).bit_length() - 1

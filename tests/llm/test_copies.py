@@ -280,7 +280,7 @@ def test_each_word_of_a_line_is_in_a_key(spark):
     """Another word in any place changes the keys, also a short one, one alone in its block and one of a block beyond the 32nd."""
     make = random.Random(12)
     word = lambda n: "".join(make.choices("abcdefghijklmnopqrstuvwxyz", k=n))
-    short = []
+    short = ["so it", "to be or not to be", "we do so as in it or if on at wonderful little houses"]
     long = [" ".join(word(make.randrange(1, top)) for _ in range(k)) for top, k in ((4, 60), (9, 40), (9, 200), (30, 20), (9, 900))]
     changed = []
     for line, text in enumerate(short + long):
@@ -306,6 +306,10 @@ def test_lines_are_linked_by_what_words_of_four_letters_in_32_blocks_leave_out(s
     typo = lambda t, each: "".join("q" if i % each == each // 2 else c for i, c in enumerate(t))
     run = "".join(make.choices("abcdefghijklmnop", k=400))
     pairs = [
+        ("internationalisation", "internationalization"),
+        ("cafes", "cafez"),
+        ("we do so as in it or if on at wonderful little houses", "we do so as in it or if on at wonderfal littla housas"),
+        (run, typo(run, 10)),
         tuple(many),
     ]
     assert all(_distance(a, b) <= 0.2 * max(len(a), len(b)) for a, b in pairs[:-1]) and len(many[0]) >= 256 * 15
